@@ -13,13 +13,22 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One test table. ``spread`` deals a scan with fewer splits than cores out over all cores; a scan
+    with enough splits is left alone."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, df.columns[0])
+    return df
 
 
 def _sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame:
-    """Run a query over test tables, given as named arguments rather than session-wide views."""
-    frames = {n: table(spark, sf_dir, n) for n in names}
+    """Run a query over test tables, given as named arguments rather than session-wide views.
+
+    The first one is the large one.
+    """
+    frames = {n: table(spark, sf_dir, n, spread=i == 0) for i, n in enumerate(names)}
     for n in names:
         query = query.replace(f"FROM {n}", f"FROM {{{n}}}").replace(f"JOIN {n} ", f"JOIN {{{n}}} ")
     return spark.sql(query, **frames)

@@ -181,10 +181,11 @@ def notice_url(documents: Column, ocid: Column, source: Column) -> Column:
         fixed.NOTICE_DOMAINS[fixed.FIND_A_TENDER]
     )
     own = F.filter(documents, lambda d: F.contains(d["url"], domain))
-    by_type = [
-        _first(F.filter(own, lambda d, t=t: d["documentType"] == t))["url"]
-        for t in fixed.NOTICE_DOCUMENT_TYPES
-    ]
+
+    def first_of_type(wanted: str) -> Column:
+        return _first(F.filter(own, lambda d: d["documentType"] == wanted))["url"]
+
+    by_type = [first_of_type(t) for t in fixed.NOTICE_DOCUMENT_TYPES]
     built = F.when(
         is_finder & blank_to_null(ocid).isNotNull(),
         F.concat(

@@ -5,14 +5,37 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from noticeworks import fixed_values as fixed
 
+_TYPES = {
+    "string": StringType(),
+    "double": DoubleType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """Schema from ``name type, …`` (needs no session, unlike ``StructType.fromDDL``)."""
+    pairs = (c.split() for c in text.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # JSON columns are STRING columns holding JSON text.
 TABLES: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
-    for name, ddl in {
+    name: columns(text)
+    for name, text in {
         "atrs_records": """record_id string, organisation_name string, phase string,
             one_sentence_desc string, model_architecture string, sensitive_attributes string,
             dpi_assessment_url string, date_published date, standard_version string,
@@ -116,5 +139,5 @@ def shipped_aliases(spark: SparkSession) -> DataFrame:
 
 
 def shipped_growth_zones(spark: SparkSession) -> DataFrame:
-    text = StructType.fromDDL(", ".join(f"{f.name} string" for f in TABLES["ai_growth_zones"]))
+    text = StructType([StructField(f.name, StringType()) for f in TABLES["ai_growth_zones"]])
     return conform(spark.createDataFrame(list(fixed.GROWTH_ZONES), text), TABLES["ai_growth_zones"])

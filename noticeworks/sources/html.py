@@ -6,16 +6,30 @@ picking links are Spark expressions over its result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from noticeworks.functions.text import blank_to_null, col
 
-SECTIONS = "array<struct<id string, text string, hrefs array<string>>>"
+SECTIONS = ArrayType(
+    StructType(
+        [
+            StructField("id", StringType()),
+            StructField("text", StringType()),
+            StructField("hrefs", ArrayType(StringType())),
+        ]
+    )
+)
+
+# Ship this module with the function, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # HTML elements that never have content.
 _VOID = frozenset(

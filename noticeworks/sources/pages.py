@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from noticeworks import fixed_values as fixed
 from noticeworks.functions.text import blank_to_null, last_segment
 from noticeworks.operators.dedup import first_n_per_key, keep_first
+from noticeworks.schemas import columns
 
-BRONZE_SCHEMA = StructType.fromDDL(
-    "page string, body string, source string, run_date date, run_id string"
-)
+BRONZE_SCHEMA = columns("page string, body string, source string, run_date date, run_id string")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -31,10 +29,13 @@ def explode_items(pages: DataFrame, field: str = "results", body: str = "body",
     items = F.from_json(F.col(body), f"struct<`{field}` array<string>>")[field]
     kept = [c for c in pages.columns if c != body]
     out = pages.select(*kept, F.posexplode(items).alias("pos", "item"))
-    if unwrap:
-        inner = F.from_json(F.col("item"), f"struct<`{unwrap}` string>")[unwrap]
-        out = out.withColumn("item", F.coalesce(inner, F.col("item")))
-    return out
+    return out.withColumn("item", unwrap_item("item", unwrap)) if unwrap else out
+
+
+def unwrap_item(item: str, key: str) -> Column:
+    """What stands under ``key`` of a JSON object, or the object itself without that key."""
+    inner = F.from_json(F.col(item), f"struct<`{key}` string>")[key]
+    return F.coalesce(inner, F.col(item))
 
 
 def count_items(body: Column | str, field: str = "results") -> Column:
