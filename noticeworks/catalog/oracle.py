@@ -55,7 +55,7 @@ STATUS_LABEL = label_case("contract_status", fixed.STATUS_LABELS, "'Unknown'")
 # Every release with the notice it should become and the reason it does not.
 NOTICES = f"""o AS ({ORDER_SQL}),
 o2 AS (SELECT *,
-    CASE WHEN k % 8 = 1 THEN concat(ocid, '-compiled') ELSE rid END AS fid,
+    CASE WHEN k % 8 IN (1, 7) AND coalesce(rid, '') = '' THEN concat(ocid, '-compiled') ELSE rid END AS fid,
     CASE WHEN k % 19 = 0 THEN concat('Planned ', phrase) ELSE titlevar END AS title,
     CASE WHEN k % 8 = 5 THEN ['72240000'] WHEN k % 8 = 6 AND cpv IS NULL THEN ['79000000'] ELSE []::VARCHAR[] END
         || CASE WHEN cpv IS NOT NULL THEN [cpv, '79000000'] ELSE []::VARCHAR[] END AS codes,

@@ -16,7 +16,6 @@ from noticeworks.functions.text import (
     col,
     first_non_blank,
     iso_day,
-    to_number,
 )
 
 _DOCUMENTS = "array<struct<url string, title string, description string, documentType string>>"
@@ -72,22 +71,23 @@ def cpv_codes(r: Column) -> Column:
 
 
 def headline_value(r: Column, awards: Column) -> Column:
-    """First award amount, else the tender amount: ``struct(amount_text, currency)``.
-
-    The currency falls back to GBP only where the key is missing; an explicit null stays NULL.
-    """
-    value = F.coalesce(
+    """The ``value`` map of the first award with an amount, else the tender's if it has one."""
+    return F.coalesce(
         _first(F.filter(awards, lambda a: _key(a["value"], "amount").isNotNull()))["value"],
         F.when(_key(r["tender"]["value"], "amount").isNotNull(), r["tender"]["value"]),
     )
-    currency = F.when(
-        F.coalesce(F.map_contains_key(value, "currency"), F.lit(False)), _key(value, "currency")
-    ).otherwise(fixed.DEFAULT_CURRENCY)
-    return F.struct(_key(value, "amount").alias("amount_text"), currency.alias("currency"))
 
 
-def value_amount(headline: Column) -> Column:
-    return to_number(headline["amount_text"])
+def amount_text(value: Column | str) -> Column:
+    return _key(col(value), "amount")
+
+
+def currency(value: Column | str) -> Column:
+    """GBP only where the key is missing; an explicit null stays NULL."""
+    v = col(value)
+    return F.when(
+        F.coalesce(F.map_contains_key(v, "currency"), F.lit(False)), _key(v, "currency")
+    ).otherwise(fixed.DEFAULT_CURRENCY)
 
 
 def headline_supplier(awards: Column) -> Column:
@@ -170,33 +170,37 @@ def contract_status(r: Column, awards: Column) -> Column:
     )
 
 
-def notice_url(documents: Column, ocid: Column, source: Column) -> Column:
-    """Public notice page: ``struct(url, status)``.
+def own_documents(documents: Column | str, source: Column) -> Column:
+    """Documents that lie on the source's own site."""
+    domain = F.when(
+        source == fixed.CONTRACTS_FINDER, fixed.NOTICE_DOMAINS[fixed.CONTRACTS_FINDER]
+    ).otherwise(fixed.NOTICE_DOMAINS[fixed.FIND_A_TENDER])
+    return F.filter(col(documents), lambda d: F.contains(d["url"], domain))
 
-    The publisher's own link wins, by document type and then by position. Without one, a Contracts
-    Finder page follows from the ocid; other sources stay unresolved.
+
+def notice_url(own: Column | str, ocid: Column, source: Column) -> Column:
+    """Public notice page, NULL if there is no telling.
+
+    The publisher's own link (``own`` holds those of :func:`own_documents`) wins, by document type
+    and then by position. Without one, a Contracts Finder page follows from the ocid.
     """
-    is_finder = source == fixed.CONTRACTS_FINDER
-    domain = F.when(is_finder, fixed.NOTICE_DOMAINS[fixed.CONTRACTS_FINDER]).otherwise(
-        fixed.NOTICE_DOMAINS[fixed.FIND_A_TENDER]
-    )
-    own = F.filter(documents, lambda d: F.contains(d["url"], domain))
+    docs = col(own)
 
     def first_of_type(wanted: str) -> Column:
-        return _first(F.filter(own, lambda d: d["documentType"] == wanted))["url"]
+        return _first(F.filter(docs, lambda d: d["documentType"] == wanted))["url"]
 
-    by_type = [first_of_type(t) for t in fixed.NOTICE_DOCUMENT_TYPES]
+    published = F.when(
+        F.size(docs) > 0,
+        F.coalesce(*[first_of_type(t) for t in fixed.NOTICE_DOCUMENT_TYPES], _first(docs)["url"]),
+    )
     built = F.when(
-        is_finder & blank_to_null(ocid).isNotNull(),
+        (source == fixed.CONTRACTS_FINDER) & blank_to_null(ocid).isNotNull(),
         F.concat(
             F.lit(fixed.CONTRACTS_FINDER_NOTICE_URL),
             F.substring_index(ocid, fixed.CONTRACTS_FINDER_OCID_PREFIX, -1),
         ),
     )
-    url = F.coalesce(*by_type, _first(own)["url"], built)
-    return F.struct(
-        url.alias("url"), F.when(url.isNotNull(), "ok").otherwise("unresolved").alias("status")
-    )
+    return F.coalesce(published, built)
 
 
 def framework_id(r: Column) -> Column:
@@ -210,24 +214,36 @@ def framework_id(r: Column) -> Column:
     return F.coalesce(blank_to_null(process["identifier"]), process["id"])
 
 
-def contract_dates(r: Column, awards: Column) -> Column:
-    """Day texts ``struct(published, start, end)``; a period that ends before it starts is dropped."""
-    award_period = _first(
+def award_period(awards: Column) -> Column:
+    """The contract period (a map) of the first award that has one."""
+    return _first(
         F.filter(awards, lambda a: F.coalesce(F.size(a["contractPeriod"]) > 0, F.lit(False)))
     )["contractPeriod"]
-    a_start, a_end = iso_day(_key(award_period, "startDate")), iso_day(_key(award_period, "endDate"))
-    tender_period = r["tender"]["contractPeriod"]
+
+
+def contract_dates(r: Column, period: Column | str) -> Column:
+    """Day texts ``struct(published, start, end)``; ``period`` is the award's.
+
+    Without any day in it the tender's period is taken.
+    """
+    award, tender = col(period), r["tender"]["contractPeriod"]
+    a_start, a_end = iso_day(_key(award, "startDate")), iso_day(_key(award, "endDate"))
     use_tender = a_start.isNull() & a_end.isNull()
-    start = F.when(use_tender, iso_day(_key(tender_period, "startDate"))).otherwise(a_start)
-    end = F.when(use_tender, iso_day(_key(tender_period, "endDate"))).otherwise(a_end)
-    backwards = F.coalesce(end < start, F.lit(False))
+    start = F.when(use_tender, iso_day(_key(tender, "startDate"))).otherwise(a_start)
+    end = F.when(use_tender, iso_day(_key(tender, "endDate"))).otherwise(a_end)
     return F.struct(
         iso_day(first_non_blank(r["date"], r["publishedDate"])).alias("published"),
-        F.when(~backwards, start).alias("start"),
-        F.when(~backwards, end).alias("end"),
+        start.alias("start"),
+        end.alias("end"),
     )
 
 
+def backwards(dates: Column | str) -> Column:
+    """A period that ends before it starts; neither end of it can be trusted."""
+    d = col(dates)
+    return F.coalesce(d["end"] < d["start"], F.lit(False))
+
+
 def stage(r: Column) -> Column:
     return F.when(F.size(r["tag"]) > 0, _first(r["tag"])).otherwise(r["stage"])
 
@@ -245,7 +261,7 @@ def _first_index(array: Column, test) -> Column:
     return F.when(pos > 0, (pos - 1).cast("int"))
 
 
-def null_reason(v: Column, r: Column, awards: Column) -> Column:
+def null_reason(v: Column, r: Column, awards: Column, period: Column) -> Column:
     """Why a release with an explicit ``null`` cannot be read, or NULL if it can.
 
     A null where an object or list is needed makes a release unreadable, but only where reading it
@@ -264,9 +280,6 @@ def null_reason(v: Column, r: Column, awards: Column) -> Column:
     )
     supplied = _first_index(awards, lambda a: F.size(_or_zero(a["suppliers"])) > 0)
     supplying = F.get(v_awards, supplied)
-    period = _first(
-        F.filter(awards, lambda a: F.coalesce(F.size(a["contractPeriod"]) > 0, F.lit(False)))
-    )["contractPeriod"]
     tender_period = r["tender"]["contractPeriod"]
 
     def null_day(p: Column, key: str) -> Column:

@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from noticeworks.operators.dedup import keep_first
+from noticeworks.operators.lookup import measured
 from noticeworks.schemas import KEYS, TABLES, conform
 
 
-class DuplicateKeys(ValueError):
-    """A batch holds a key more than once where that is not allowed."""
-
-
 def duplicate_keys(batch: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -39,6 +36,16 @@ def new_rows(
     return batch.join(existing.select(key), key, "left_anti")
 
 
+def known_keys(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The keys of ``existing`` that ``batch`` holds too.
+
+    A batch measured small is sent to the scan of ``existing``, which then is not shuffled: merging
+    a small batch costs one read of the key column. ``batch`` is read once for this; persist it.
+    """
+    keys = batch.select(key)
+    return existing.select(key).join(measured(keys), key, "left_semi")
+
+
 def merge_insert_only(
     batch: DataFrame,
     existing: DataFrame,
@@ -70,12 +77,21 @@ def merge_questions(batch: DataFrame, existing: DataFrame, order: list[Column |
 
 
 def merge_records(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """Transparency records: no relevance filter, and a new key may occur only once per batch."""
-    fresh = new_rows(batch, existing, KEYS["atrs_records"], None)
-    repeated = duplicate_keys(fresh, KEYS["atrs_records"]).limit(5).collect()
-    if repeated:
-        raise DuplicateKeys(", ".join(str(r[0]) for r in repeated))
-    return conform(fresh, TABLES["atrs_records"])
+    """Transparency records: no relevance filter, and a new key may occur only once per batch.
+
+    A repeated key fails the job that reads the result, as a unique key would fail the insert.
+    :func:`duplicate_keys` lists the repeated ones. The test is part of the plan, so the batch is
+    read once.
+    """
+    key = KEYS["atrs_records"]
+    fresh = conform(new_rows(batch, existing, key, None), TABLES["atrs_records"])
+    counted = fresh.groupBy(F.col(key).alias("_key")).agg(
+        F.any_value(F.struct(*fresh.columns)).alias("_row"), F.count(F.lit(1)).alias("_n")
+    )
+    once = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
+        F.raise_error(F.concat(F.lit("key occurs more than once in the batch: "), F.col("_key")))
+    )
+    return counted.select(once.alias("_row")).select("_row.*")
 
 
 def merge_seed(rows: DataFrame, existing: DataFrame, table: str, order: list[Column | str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions.text import alias_key, month_of
 from noticeworks.operators.dedup import dedup_richest
-from noticeworks.operators.lookup import lookup_join
+from noticeworks.operators.lookup import lookup_join, measured
 from noticeworks.operators.orgs import AliasPolicy, alias_lookup
 
 
@@ -22,12 +22,12 @@ def reporting_gap(dedup: DataFrame, records: DataFrame, aliases: DataFrame) -> D
     Each side is counted by itself and joined afterwards. Joining first would pair every notice with
     every record of an organisation only to count them distinct again.
     """
-    lookup = alias_lookup(aliases)
+    lookup = measured(alias_lookup(aliases))
 
     def counted(df: DataFrame, name: str, key: str, output: str) -> DataFrame:
         named = df.select(alias_key(name).alias("_key"), key)
         return (
-            lookup_join(named, lookup, "_key")
+            named.join(lookup, "_key")
             .groupBy("canonical_name")
             .agg(F.count_distinct(key).alias(output))
         )

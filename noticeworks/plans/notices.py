@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.functions import ocds
 from noticeworks.functions.relevance import DEFAULT_CONFIG, RelevanceConfig, classify, is_relevant
-from noticeworks.functions.text import blank_to_null, first_non_blank, to_day
+from noticeworks.functions.text import blank_to_null, first_non_blank, to_day, to_number
 
 
 def with_release(df: DataFrame, release: str = "release", strict: bool = True) -> DataFrame:
     """Parse release JSON once: adds ``r``, ``aw`` (its awards) and, if ``strict``, ``v`` (VARIANT).
 
     ``v`` is there only for texts with a null literal in them: no other can hold an explicit null,
-    so no other needs the second parse. The parse sits inside a generator, which Spark never moves a filter below. A plain projection
-    would have every later filter on a parsed field parse the text a second time.
+    so no other needs the second parse. The parse sits inside a generator, which Spark never moves a
+    filter below; with a plain projection, a later filter on a parsed field would parse every text
+    once more.
     """
-    parsed = F.from_json(F.col(release), ocds.RELEASE_SCHEMA)
-    awards = F.from_json(F.col("r.awards"), ocds.AWARDS_SCHEMA)
-    v = F.when(F.col(release).rlike(r":\s*null"), F.try_parse_json(release)) if strict else F.lit(None)
-    both = F.struct(parsed.alias("r"), v.alias("v"))
+    r, v, awards = _parse_columns(df.sparkSession.sparkContext.applicationId, release, strict)
     return (
-        df.select("*", F.explode(F.array(both)).alias("_p"))
+        df.select("*", F.explode(F.array(F.struct(r, v))).alias("_p"))
         .select(*df.columns, "_p.r", "_p.v")
         .select("*", F.explode(F.array(awards)).alias("aw"))
     )
 
 
+@lru_cache(maxsize=16)
+def _parse_columns(app: str, release: str, strict: bool):
+    v = F.when(F.contains(release, F.lit("null")), F.try_parse_json(release)) if strict else F.lit(None)
+    return (
+        F.from_json(F.col(release), ocds.RELEASE_SCHEMA).alias("r"),
+        v.alias("v"),
+        F.from_json(F.col("r.awards"), ocds.AWARDS_SCHEMA),
+    )
+
+
 def parse_releases(
     releases: DataFrame,
     source: Column | str,
@@ -43,56 +53,68 @@ def parse_releases(
     an explicit ``null`` counts as a missing key instead of a reason.
     """
     src = F.lit(source) if isinstance(source, str) else source
+    made_up = "compiled_id" in releases.columns
     carried = [c for c in releases.columns if c not in (release, "compiled_id")]
-    made_up = F.col("compiled_id") if "compiled_id" in releases.columns else F.lit(None)
-    r, aw = F.col("r"), F.col("aw")
+    app = releases.sparkSession.sparkContext.applicationId
+    first, second, own, last, flags = _columns(app, made_up, config, lenient)
+    return (
+        with_release(releases.withColumn("_source", src), release, not lenient)
+        .select(*carried, "_source", "r", "aw", "v", *first)
+        .withColumns(second)
+        .withColumn("_own", own)
+        .select(*carried, *last)
+        .withColumns(flags)
+    )
 
-    staged = with_release(releases.withColumn("_source", src), release, not lenient).select(
-        *carried,
-        "_source",
-        "r",
-        "aw",
-        first_non_blank("r.id", made_up).alias("_id"),
-        F.col("v").alias("_v"),
+
+@lru_cache(maxsize=16)
+def _columns(app: str, made_up: bool, config: RelevanceConfig, lenient: bool):
+    """The expressions of each step. They name columns only, so they are built once per application
+    and used for any number of inputs: building them takes longer than planning a query."""
+    r, aw = F.col("r"), F.col("aw")
+    first = [
+        first_non_blank("r.id", "compiled_id" if made_up else F.lit(None)).alias("_id"),
         ocds.headline_value(r, aw).alias("_value"),
         ocds.headline_supplier(aw).alias("_supplier"),
-        ocds.contract_dates(r, aw).alias("_dates"),
-        ocds.cpv_codes(r).alias("_cpv"),
+        ocds.award_period(aw).alias("_period"),
         ocds.all_documents(r, aw).alias("_docs"),
-    )
-    staged = staged.withColumn("_documents", ocds.distinct_documents("_docs"))
+        ocds.cpv_codes(r).alias("_cpv"),
+        ocds.notice_title(r).alias("_title"),
+    ]
+    second = {
+        "_dates": ocds.contract_dates(r, "_period"),
+        "_documents": ocds.distinct_documents("_docs"),
+        "_amount": ocds.amount_text("_value"),
+    }
+    own = ocds.own_documents("_documents", F.col("_source"))
 
-    amount = ocds.value_amount(F.col("_value"))
-    reason = F.when(r.isNull() | (F.col("_id").isNull() | blank_to_null("r.ocid").isNull()), "no ocid or id")
+    amount = to_number("_amount")
+    reason = F.when(F.col("_id").isNull() | blank_to_null("r.ocid").isNull(), "no ocid or id")
     if not lenient:
-        reason = F.coalesce(
-            reason, F.when(F.col("_v").isNotNull(), ocds.null_reason(F.col("_v"), r, aw))
-        )
-    reason = F.coalesce(
-        reason, F.when(F.col("_value.amount_text").isNotNull() & amount.isNull(), "amount is no number")
-    )
+        nulls = ocds.null_reason(F.col("v"), r, aw, F.col("_period"))
+        reason = F.coalesce(reason, F.when(F.col("v").isNotNull(), nulls))
+    reason = F.coalesce(reason, F.when(F.col("_amount").isNotNull() & amount.isNull(), "amount is no number"))
+    published, start, end = F.col("_dates.published"), F.col("_dates.start"), F.col("_dates.end")
+    forwards = ~ocds.backwards("_dates")
     days = {
-        "published_date": F.col("_dates.published"),
-        "contract_start": F.col("_dates.start"),
-        "contract_end": F.col("_dates.end"),
+        "published_date": to_day(published),
+        "contract_start": F.when(forwards, to_day(start)),
+        "contract_end": F.when(forwards, to_day(end)),
     }
-    not_a_day = F.lit(False)
-    for text in days.values():
-        not_a_day = not_a_day | (text.isNotNull() & to_day(text).isNull())
-    title = ocds.notice_title(r)
-    url = ocds.notice_url(F.col("_documents"), F.col("r.ocid"), F.col("_source"))
-    tier = classify(title, "r.tender.description", "_cpv", config)
-    parsed = staged.select(
-        *carried,
+    not_a_day = (published.isNotNull() & days["published_date"].isNull()) | (
+        forwards
+        & ((start.isNotNull() & days["contract_start"].isNull()) | (end.isNotNull() & days["contract_end"].isNull()))
+    )
+    last = [
         F.concat("r.ocid", F.lit("::"), "_id").alias("notice_id"),
         F.col("_source").alias("source"),
         ocds.stage(r).alias("stage"),
         F.col("r.tender.status").alias("tender_status"),
         ocds.contract_status(r, aw).alias("contract_status"),
-        title.alias("title"),
+        F.col("_title").alias("title"),
         F.col("r.tender.description").alias("description"),
         amount.alias("value_amount"),
-        F.col("_value.currency").alias("currency"),
+        ocds.currency("_value").alias("currency"),
         F.col("r.buyer.name").alias("buyer_name"),
         F.col("r.buyer.identifier.id").alias("buyer_org_id"),
         F.col("_supplier.name").alias("supplier_name"),
@@ -102,23 +124,19 @@ def parse_releases(
         F.nullif("r.awards", F.lit("[]")).alias("awards"),
         ocds.framework_id(r).alias("framework_id"),
         F.col("r.tender.procurementMethod").alias("procurement_method"),
-        *[to_day(text).alias(name) for name, text in days.items()],
-        tier.alias("ai_confidence"),
+        *[day.alias(name) for name, day in days.items()],
+        classify("_title", "r.tender.description", "_cpv", config).alias("ai_confidence"),
         F.lit(config.version).alias("ai_relevance_version"),
-        url.alias("_url"),
+        ocds.notice_url("_own", F.col("r.ocid"), F.col("_source")).alias("source_url"),
         F.current_timestamp().alias("ingested_at"),
         reason.alias("reason"),
         F.when(not_a_day, "date text is no date").alias("issue"),
-    )
-    return parsed.select(
-        *[c for c in parsed.columns if c not in ("_url", "ingested_at", "reason", "issue")],
-        is_relevant("ai_confidence").alias("ai_relevant"),
-        F.col("_url.status").alias("link_status"),
-        F.col("_url.url").alias("source_url"),
-        "ingested_at",
-        "reason",
-        "issue",
-    )
+    ]
+    flags = {
+        "ai_relevant": is_relevant("ai_confidence"),
+        "link_status": F.when(F.col("source_url").isNotNull(), "ok").otherwise("unresolved"),
+    }
+    return first, second, own, last, flags
 
 
 def good(parsed: DataFrame) -> DataFrame:
