@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,22 @@ def _to_json(record: Column) -> Column:
 
 def release_json(df: DataFrame) -> DataFrame:
     """Adds ``release``, the JSON text of one release per order."""
+    cut = F.expr("substring(_text, 1, length(_text) - 1)")
+    return (
+        df.withColumn("_text", _release_text(df.sparkSession.sparkContext.applicationId))
+        .withColumn(
+            "release",
+            F.when(F.expr("k % 107 = 0"), F.concat(cut, F.lit(',"tender":null}')))
+            .when(F.expr("k % 109 = 0"), F.concat(cut, F.lit(',"buyer": null}')))
+            .otherwise(F.col("_text")),
+        )
+        .drop("_text")
+    )
+
+
+@lru_cache(maxsize=4)
+def _release_text(app: str) -> Column:
+    """The release of one order; built once per application."""
     finder = "https://www.contractsfinder.service.gov.uk"
     doc = lambda url, type_=None, title=None, description=None: _struct(
         url=url,
@@ -184,18 +202,7 @@ def release_json(df: DataFrame) -> DataFrame:
         .when(F.expr("k % 6 = 2"), F.array(_struct(id="'1'", relationship="'parent'", identifier="'P-2'"))),
         awards=F.when(F.expr("a2"), F.array(a1, a2)).when(F.expr("has_aw"), F.array(a1)),
     )
-    text = _to_json(record)
-    cut = F.expr("substring({0}, 1, length({0}) - 1)".replace("{0}", "_text"))
-    return (
-        df.withColumn("_text", text)
-        .withColumn(
-            "release",
-            F.when(F.expr("k % 107 = 0"), F.concat(cut, F.lit(',"tender":null}')))
-            .when(F.expr("k % 109 = 0"), F.concat(cut, F.lit(',"buyer": null}')))
-            .otherwise(F.col("_text")),
-        )
-        .drop("_text")
-    )
+    return _to_json(record)
 
 
 def package_lines(df: DataFrame, extra: bool = False) -> DataFrame:

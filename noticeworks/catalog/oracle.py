@@ -47,7 +47,7 @@ def money(c: str) -> str:
 
 
 def money_bn(c: str) -> str:
-    return f"coalesce('£' || format('{{:,.1f}}', {c} / 1e9) || 'bn', '—')"
+    return f"coalesce('£' || format('{{:.1f}}', {c} / 1e9) || 'bn', '—')"
 
 
 STATUS_LABEL = label_case("contract_status", fixed.STATUS_LABELS, "'Unknown'")
