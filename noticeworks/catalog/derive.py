@@ -14,6 +14,9 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# Tables whose rows become records; the others are dimensions.
+LARGE = ("orders", "documents", "conversations")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One test table. ``spread`` deals a scan with fewer splits than cores out over all cores; a scan
@@ -26,11 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 
 def _sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame:
-    """Run a query over test tables, given as named arguments rather than session-wide views.
-
-    The first one is the large one.
-    """
-    frames = {n: table(spark, sf_dir, n, spread=i == 0) for i, n in enumerate(names)}
+    """Run a query over test tables, given as named arguments rather than session-wide views."""
+    frames = {n: table(spark, sf_dir, n, spread=n in LARGE) for n in names}
     for n in names:
         query = query.replace(f"FROM {n}", f"FROM {{{n}}}").replace(f"JOIN {n} ", f"JOIN {{{n}}} ")
     return spark.sql(query, **frames)
