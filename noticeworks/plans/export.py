@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from noticeworks.functions.text import version_label
 from noticeworks.plans import gold
-from noticeworks.schemas import TABLES
+from noticeworks.schemas import TABLES, read_table
 
 UNKNOWN_YEAR = "unknown"
 
@@ -42,6 +50,52 @@ def read_by_year(spark: SparkSession, path: str, schema: StructType) -> DataFram
     ).parquet(path)
 
 
+# Exported relations whose columns are not those of a table. Months are plain timestamps.
+_MONTH = StructField("month", TimestampNTZType())
+VIEW_SCHEMAS = {
+    "v_reporting_gap": StructType(
+        [
+            StructField("canonical_name", StringType()),
+            StructField("ai_procurement_count", LongType()),
+            StructField("atrs_record_count", LongType()),
+        ]
+    ),
+    "v_spend_by_month": StructType(
+        [
+            StructField("canonical_name", StringType()),
+            _MONTH,
+            StructField("total_value", DoubleType()),
+            StructField("currency", StringType()),
+            StructField("notice_count", LongType()),
+        ]
+    ),
+    "v_announcement_trends": StructType(
+        [_MONTH, StructField("document_type", StringType()), StructField("announcement_count", LongType())]
+    ),
+    "v_wpq_trends": StructType(
+        [_MONTH, StructField("department", StringType()), StructField("question_count", LongType())]
+    ),
+    "v_capacity_overview": StructType(
+        [f for f in TABLES["ai_growth_zones"] if f.name not in ("site", "notes")]
+    ),
+}
+_EXPORTED_TABLES = ("atrs_records", "gov_announcements", "written_questions", "ai_growth_zones")
+
+
+def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The exports under ``root`` as reports use them; one not written yet is empty.
+
+    Record versions are put into one form and notices without a confidence read ``none``.
+    """
+    schemas = {name: TABLES[name] for name in _EXPORTED_TABLES} | VIEW_SCHEMAS
+    out = {name: read_table(spark, f"{root}/{name}", schema) for name, schema in schemas.items()}
+    by_year = StructType([*TABLES["procurement_notices"].fields, StructField("year", StringType())])
+    notices = read_table(spark, f"{root}/procurement_notices", by_year)
+    out["procurement_notices"] = notices.na.fill("none", ["ai_confidence"])
+    out["atrs_records"] = out["atrs_records"].withColumn("standard_version", version_label("standard_version"))
+    return out
+
+
 def gold_relations(tables: dict[str, DataFrame], dedup: DataFrame) -> dict[str, DataFrame]:
     """The nine named exports beside the notices."""
     return {

@@ -103,6 +103,32 @@ def capacity_overview(zones: DataFrame) -> DataFrame:
     ).orderBy(F.col("announced_date").asc_nulls_last(), "zone_id")
 
 
+VIEWS = {
+    "v_procurement_dedup": lambda t: procurement_dedup(t["procurement_notices"]),
+    "v_reporting_gap": lambda t: reporting_gap(
+        procurement_dedup(t["procurement_notices"]), t["atrs_records"], t["org_aliases"]
+    ),
+    "v_spend_by_month": lambda t: spend_by_month(
+        procurement_dedup(t["procurement_notices"]), t["org_aliases"], "as_is"
+    ),
+    "v_wpq_trends": lambda t: question_trends(t["written_questions"]),
+    "v_announcement_trends": lambda t: announcement_trends(t["gov_announcements"]),
+    "v_capacity_overview": lambda t: capacity_overview(t["ai_growth_zones"]),
+}
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make the tables and the views over them known to ``spark.sql`` under their names.
+
+    ``v_spend_by_month`` counts a buyer once for each of its spellings (``as_is``); call
+    :func:`spend_by_month` to count it once.
+    """
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    for name, view in VIEWS.items():
+        view(tables).createOrReplaceTempView(name)
+
+
 def run_counts(df: DataFrame, relevant: Column | str = "ai_relevant", reason: str = "reason") -> DataFrame:
     """Rows read, rows parsed, relevant rows and rows in error, in one pass."""
     flag = F.col(relevant) if isinstance(relevant, str) else relevant

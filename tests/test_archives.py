@@ -66,6 +66,14 @@ def test_scan_skips_blank_and_sets_bad_lines_aside(spark, tmp_path, gz):
     assert [json.loads(r["line"])["ocid"] for r in ok.orderBy("_ord").collect()] == ["a", "b"]
 
 
+def test_lines_that_cannot_be_unpacked_are_set_aside(spark):
+    lines = ['{"records": null}', '{"records": {}}', '{"releases": 5}', '{"records": [], "releases": null}', '{"foo": 1}', '{"compiledRelease": null}']
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    ok, bad = split_lines(df)
+    assert {r["line"]: r["reason"] for r in bad.collect()} == {lines[0]: "records is no list", lines[1]: "records is no list", lines[2]: "releases is no list"}
+    assert ok.count() == 3 and normalise_packages(ok).count() == 0
+
+
 def test_line_order_survives_splits_and_shuffles(spark, tmp_path):
     path = write(tmp_path / "big.jsonl", [f'{{"ocid":"o{i}"}}' for i in range(20000)])
     size = "65536"

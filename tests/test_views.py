@@ -281,7 +281,31 @@ def test_export_gold(spark, notices, aliases, tmp_path):
     counts = export.export_gold(spark, tables, str(tmp_path))
     assert counts["procurement_notices"] == 5 and counts["v_reporting_gap"] == 3 and counts["ai_growth_zones"] == 5
     assert len(counts) == 10
-    assert spark.read.parquet(f"{tmp_path}/v_spend_by_month").count() == counts["v_spend_by_month"] == 3
+    back = export.read_gold(spark, str(tmp_path))
+    assert {name: df.count() for name, df in back.items()} == counts and counts["v_spend_by_month"] == 3
+    for name, schema in export.VIEW_SCHEMAS.items():
+        assert spark.read.parquet(f"{tmp_path}/{name}").dtypes == back[name].dtypes, name
+    absent = export.read_gold(spark, str(tmp_path / "absent"))
+    assert set(absent) == set(back) and all(df.isEmpty() for df in absent.values())
+
+
+def test_read_gold_puts_versions_and_confidence_right(spark, notices, tmp_path):
+    export.write_by_year(notices.withColumn("ai_confidence", F.expr("nullif(ai_confidence, 'weak')")), f"{tmp_path}/procurement_notices")
+    records = table(spark, "atrs_records", {"record_id": "1", "standard_version": "3.0"}, {"record_id": "2"})
+    records.write.parquet(f"{tmp_path}/atrs_records")
+    back = export.read_gold(spark, str(tmp_path))
+    assert back["procurement_notices"].filter("ai_confidence = 'none'").count() == 1
+    assert sorted(r["standard_version"] for r in back["atrs_records"].collect()) == ["unknown", "v3.0"]
+
+
+def test_views_answer_sql(spark, notices, aliases):
+    tables = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+    gold.register_views(tables | {"procurement_notices": notices, "org_aliases": aliases})
+    assert spark.sql("SELECT count(*) FROM v_procurement_dedup").first()[0] == 5
+    assert spark.sql("SELECT notice_count FROM v_spend_by_month WHERE currency = 'GBP' AND month IS NOT NULL").first()[0] == 4
+    assert spark.sql("SELECT canonical_name FROM v_reporting_gap WHERE ai_procurement_count = 0").first()[0] == "Education"
+    for name in ("v_wpq_trends", "v_announcement_trends", "v_capacity_overview"):
+        assert spark.table(name).count() == 0
 
 
 def test_shipped_values():
