@@ -23,8 +23,3 @@ def measured(lookup: DataFrame) -> DataFrame:
     """``lookup``, marked for broadcast if it is measured small. Spark plans the joins of an unmarked
     one by itself, and adaptive execution splits their hot keys."""
     return F.broadcast(lookup) if is_small(lookup) else lookup
-
-
-def lookup_join(left: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
-    """Equi-join with a lookup table: broadcast if measured small, else a shuffle join."""
-    return left.join(measured(lookup), on, how)

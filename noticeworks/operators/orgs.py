@@ -9,19 +9,22 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions.text import alias_key
 from noticeworks.operators.dedup import keep_first
-from noticeworks.operators.lookup import lookup_join
+from noticeworks.operators.lookup import is_small
 
 AliasPolicy = Literal["distinct", "as_is"]
 
 
 def alias_lookup(aliases: DataFrame, policy: AliasPolicy = "distinct") -> DataFrame:
-    """``(_key, canonical_name)`` of the alias table.
+    """``(_key, canonical_name)`` of the alias table, marked for broadcast if that is small.
 
     Spellings that differ only in case share a key. ``distinct`` keeps one row per key and canonical
     name; ``as_is`` keeps the repeats, which then count a matching row once per spelling.
     """
     lookup = aliases.select(alias_key("raw_name").alias("_key"), "canonical_name")
-    return lookup.distinct() if policy == "distinct" else lookup
+    if policy == "distinct":
+        lookup = lookup.distinct()
+    # No more rows than the alias table has, so that is what is measured.
+    return F.broadcast(lookup) if is_small(aliases) else lookup
 
 
 def resolve(df: DataFrame, name: str, aliases: DataFrame, output: str = "canonical_name") -> DataFrame:
@@ -31,14 +34,14 @@ def resolve(df: DataFrame, name: str, aliases: DataFrame, output: str = "canonic
         "_key",
         ["raw_name"],
     ).drop("raw_name")
-    return lookup_join(df.withColumn("_key", alias_key(name)), one, "_key", "left").drop("_key")
+    if is_small(aliases):
+        one = F.broadcast(one)
+    return df.withColumn("_key", alias_key(name)).join(one, "_key", "left").drop("_key")
 
 
 def alias_join(df: DataFrame, name: str, aliases: DataFrame, policy: AliasPolicy = "as_is") -> DataFrame:
     """Rows that have an alias, once for each."""
-    return lookup_join(
-        df.withColumn("_key", alias_key(name)), alias_lookup(aliases, policy), "_key"
-    ).drop("_key")
+    return df.withColumn("_key", alias_key(name)).join(alias_lookup(aliases, policy), "_key").drop("_key")
 
 
 def unmatched_names(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions.text import alias_key, month_of
 from noticeworks.operators.dedup import dedup_richest
-from noticeworks.operators.lookup import lookup_join, measured
 from noticeworks.operators.orgs import AliasPolicy, alias_lookup
 
 
@@ -22,7 +21,7 @@ def reporting_gap(dedup: DataFrame, records: DataFrame, aliases: DataFrame) -> D
     Each side is counted by itself and joined afterwards. Joining first would pair every notice with
     every record of an organisation only to count them distinct again.
     """
-    lookup = measured(alias_lookup(aliases))
+    lookup = alias_lookup(aliases)
 
     def counted(df: DataFrame, name: str, key: str, output: str) -> DataFrame:
         named = df.select(alias_key(name).alias("_key"), key)
@@ -61,7 +60,7 @@ def spend_by_month(dedup: DataFrame, aliases: DataFrame, policy: AliasPolicy = "
         .agg(F.sum("value_amount").alias("total_value"), F.count(F.lit(1)).alias("notice_count"))
     )
     return (
-        lookup_join(by_name, alias_lookup(aliases, policy), "_key")
+        by_name.join(alias_lookup(aliases, policy), "_key")
         .groupBy("canonical_name", "month", "currency")
         .agg(F.sum("total_value").alias("total_value"), F.sum("notice_count").alias("notice_count"))
         .select("canonical_name", "month", "total_value", "currency", "notice_count")
@@ -129,13 +128,17 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         view(tables).createOrReplaceTempView(name)
 
 
-def run_counts(df: DataFrame, relevant: Column | str = "ai_relevant", reason: str = "reason") -> DataFrame:
-    """Rows read, rows parsed, relevant rows and rows in error, in one pass."""
-    flag = F.col(relevant) if isinstance(relevant, str) else relevant
+def run_count_columns(relevant: str = "ai_relevant", reason: str = "reason") -> list[Column]:
+    """Rows read, rows parsed, relevant rows and rows in error, for ``agg`` or ``observe``."""
     ok = F.col(reason).isNull()
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(ok).alias("n_parsed"),
-        F.count_if(ok & flag).alias("n_relevant"),
+        F.count_if(ok & F.col(relevant)).alias("n_relevant"),
         F.count_if(~ok).alias("n_errors"),
-    )
+    ]
+
+
+def run_counts(parsed: DataFrame, relevant: str = "ai_relevant", reason: str = "reason") -> DataFrame:
+    """The counts of a parse run, in one pass."""
+    return parsed.agg(*run_count_columns(relevant, reason))

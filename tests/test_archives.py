@@ -6,6 +6,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from noticeworks.functions.relevance import RelevanceConfig
@@ -99,6 +100,17 @@ def test_load_keeps_relevant_rows_once(spark, tmp_path):
     assert load_archive(spark, path, table, "contracts_finder", keep_all=True) == 1
 
 
+def test_load_counts_and_quarantines(spark, tmp_path):
+    lines = [release("a"), release("b", "Cleaning"), "{bad", {"ocid": "c", "id": "1", "tender": None}, {"releases": [{"id": "no ocid"}]}]
+    path = write(tmp_path / "a.jsonl", lines)
+    counts = Observation()
+    assert load_archive(spark, path, str(tmp_path / "t"), "find_a_tender", counts=counts, quarantine_path=str(tmp_path / "q")) == 1
+    assert counts.get == {"n_rows": 4, "n_parsed": 2, "n_relevant": 1, "n_errors": 2}
+    bad = spark.read.parquet(str(tmp_path / "q")).collect()
+    assert sorted(r["reason"] for r in bad) == ["malformed", "no ocid or id", "tender is null"]
+    assert all(r["file"].endswith("a.jsonl") for r in bad) and "{bad" in {r["text"] for r in bad}
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "16"])
 def test_result_does_not_depend_on_partitions(spark, tmp_path, partitions):
     lines = [release(f"o{i % 40}", f"AI {i}") for i in range(200)]

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from noticeworks import fixed_values as fixed
 from noticeworks.functions.display import money, money_bn, supplier_summary
 from noticeworks.functions.text import last_segment, strip, text_key, to_day, to_number, version_label
-from noticeworks.operators import lookup
+from noticeworks.operators import lookup, orgs
 from noticeworks.operators.dedup import first_n_per_key, keep_first
-from noticeworks.operators.lookup import is_small, lookup_join
+from noticeworks.operators.lookup import is_small, measured
 from noticeworks.operators.median import exact_median
 from noticeworks.operators.merge import known_keys
 from noticeworks.operators.orgs import alias_join, resolve, unmatched_names
@@ -63,12 +63,13 @@ def test_unmatched_names(spark, aliases):
 
 def test_lookup_is_broadcast_only_when_small(spark, monkeypatch):
     left, right = names(spark, *"abc"), names(spark, *"ab")
-    plan = lambda: lookup_join(left, right, "name")._jdf.queryExecution().optimizedPlan().toString()
+    join = lambda: left.join(measured(right), "name")
+    plan = lambda: join()._jdf.queryExecution().optimizedPlan().toString()
     assert is_small(right) and not is_small(right, rows=1) and not is_small(right, size=10)
     assert "strategy=broadcast" in plan()
     monkeypatch.setattr(lookup, "is_small", lambda df: False)
     assert "broadcast" not in plan()
-    assert sorted(r[0] for r in lookup_join(left, right, "name").collect()) == ["a", "b"]
+    assert sorted(r[0] for r in join().collect()) == ["a", "b"]
     assert [r[0] for r in known_keys(left, right, "name").orderBy("name").collect()] == ["a", "b"]
 
 
@@ -308,6 +309,21 @@ def test_views_answer_sql(spark, notices, aliases):
         assert spark.table(name).count() == 0
 
 
+def test_big_alias_table_is_not_broadcast(spark, aliases, monkeypatch):
+    monkeypatch.setattr(orgs, "is_small", lambda df: False)
+    df = names(spark, " mod ", "x")
+    for out in (resolve(df, "name", aliases), alias_join(df, "name", aliases)):
+        assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.filter("canonical_name = 'Ministry of Defence'").count() >= 1
+
+
+def test_export_of_empty_tables(spark, tmp_path):
+    tables = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+    counts = export.export_gold(spark, tables, str(tmp_path))
+    assert set(counts.values()) == {0}
+    assert all(df.isEmpty() for df in export.read_gold(spark, str(tmp_path)).values())
+
+
 def test_shipped_values():
     assert set(fixed.STATUS_LABELS) >= {"awarded", "open", "planned", "closed"}
     assert len(fixed.ANNOUNCEMENT_QUERIES) == 9 and len(fixed.ANNOUNCEMENT_DOCUMENT_TYPES) == 8
