@@ -248,6 +248,26 @@ def stage(r: Column) -> Column:
     return F.when(F.size(r["tag"]) > 0, _first(r["tag"])).otherwise(r["stage"])
 
 
+# --- wrong types ---------------------------------------------------------------------------------
+
+
+def type_reason(release: str, r: Column, awards: Column) -> Column:
+    """Why a release with something else in place of an object or list cannot be read, or NULL.
+
+    The text is looked at again only where the parsed part is missing.
+    """
+
+    def no_object(part: str) -> Column:
+        return r[part].isNull() & F.get_json_object(F.col(release), f"$.{part}").isNotNull()
+
+    return (
+        F.when(r.isNull(), None)
+        .when(no_object("tender"), "tender is no object")
+        .when(no_object("buyer"), "buyer is no object")
+        .when(awards.isNull() & blank_to_null(r["awards"]).isNotNull(), "awards is no list")
+    )
+
+
 # --- explicit nulls -------------------------------------------------------------------------------
 
 

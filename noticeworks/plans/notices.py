@@ -56,7 +56,7 @@ def parse_releases(
     made_up = "compiled_id" in releases.columns
     carried = [c for c in releases.columns if c not in (release, "compiled_id")]
     app = releases.sparkSession.sparkContext.applicationId
-    first, second, own, last, flags = _columns(app, made_up, config, lenient)
+    first, second, own, last, flags = _columns(app, release, made_up, config, lenient)
     return (
         with_release(releases.withColumn("_source", src), release, not lenient)
         .select(*carried, "_source", "r", "aw", "v", *first)
@@ -68,7 +68,7 @@ def parse_releases(
 
 
 @lru_cache(maxsize=16)
-def _columns(app: str, made_up: bool, config: RelevanceConfig, lenient: bool):
+def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, lenient: bool):
     """The expressions of each step. They name columns only, so they are built once per application
     and used for any number of inputs: building them takes longer than planning a query."""
     r, aw = F.col("r"), F.col("aw")
@@ -80,6 +80,7 @@ def _columns(app: str, made_up: bool, config: RelevanceConfig, lenient: bool):
         ocds.all_documents(r, aw).alias("_docs"),
         ocds.cpv_codes(r).alias("_cpv"),
         ocds.notice_title(r).alias("_title"),
+        ocds.type_reason(release, r, aw).alias("_wrong"),
     ]
     second = {
         "_dates": ocds.contract_dates(r, "_period"),
@@ -90,6 +91,7 @@ def _columns(app: str, made_up: bool, config: RelevanceConfig, lenient: bool):
 
     amount = to_number("_amount")
     reason = F.when(F.col("_id").isNull() | blank_to_null("r.ocid").isNull(), "no ocid or id")
+    reason = F.coalesce(reason, F.col("_wrong"))
     if not lenient:
         nulls = ocds.null_reason(F.col("v"), r, aw, F.col("_period"))
         reason = F.coalesce(reason, F.when(F.col("v").isNotNull(), nulls))

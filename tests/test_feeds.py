@@ -247,3 +247,15 @@ def test_bronze_is_idempotent_per_page(spark, tmp_path):
     land("11", ("page_0001", "A"))
     land("11", ("page_0001", "A"))
     assert sorted((r["page"], r["body"]) for r in read_bronze(spark, root).collect()) == [("page_0001", "A"), ("page_0002", "b")]
+
+
+def test_section_reader_travels_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(read_sections))
+    code = "import pickle; f = pickle.load(open('f.pkl', 'rb')); print(f('<h3 id=a></h3><p>x</p>')[0]['text'])"
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "x", done.stderr

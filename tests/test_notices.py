@@ -268,6 +268,24 @@ def test_explicit_nulls(spark):
     assert lenient == [None] * (len(RAISING) - 1) + ["amount is no number"]
 
 
+@pytest.mark.parametrize(
+    "release,reason",
+    [
+        (changed(tender="none"), "tender is no object"),
+        (changed(tender=[1]), "tender is no object"),
+        (changed(buyer=5), "buyer is no object"),
+        (changed(awards="none"), "awards is no list"),
+        (changed(awards=""), None),
+        (changed(awards={}), None),
+        (changed(awards=[]), None),
+        (without("buyer"), None),
+    ],
+)
+def test_wrong_types(spark, release, reason):
+    n = one(spark, release)
+    assert n["reason"] == reason and n["notice_id"] == "ocds-b5fd17-n1::n1-award"
+
+
 def test_counts_and_split(spark):
     p = parse(spark, AWARD, changed(id="2", tender={"title": "Office cleaning"}, awards=[]), changed(tender=None))
     assert tuple(run_counts(p).first()) == (3, 2, 1, 1)
