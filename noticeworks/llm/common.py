@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +47,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if _shipped.get("to") != context.applicationId:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="noticeworks-")  # of the driver, which serves the file
+        target = f"{folder}/{package.name}_code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in package.rglob("*.py"):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(target)
+        _shipped["to"] = context.applicationId
+    return spark
+
+
+_shipped: dict[str, str] = {}
+
+
 def delete_written(df: DataFrame) -> None:
     """Delete the files behind a table made by ``written`` that no later plan reads."""
     spark = df.sparkSession

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, sharding
-from noticeworks.llm.common import table
+from noticeworks.llm import bpe, sharding, simhash
+from noticeworks.llm.common import ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,10 +21,23 @@ SHARDS = 24
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register ``fn`` under its own name."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(ship(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = written(simhash.with_fingerprints(docs), "fingerprints")
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return simhash.near_copies(prints).select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
