@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, sharding, simhash
+from noticeworks.llm import bpe, decontaminate, sharding, simhash
 from noticeworks.llm.common import ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(prints).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontaminate.matches(table(spark, sf_dir, "documents"), items)
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
