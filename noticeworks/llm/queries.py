@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, decontaminate, sharding, simhash
+from noticeworks.llm import bpe, decontaminate, lines, sharding, simhash
 from noticeworks.llm.common import ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "text", F.length("text").alias("n_chars").cast("long"), "words_removed")
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
