@@ -31,22 +31,21 @@ ROWS = 2048
 #: Rows of one range of neighbours, about, and most ranges.
 RANGE_ROWS, RANGES = 4000, 8192
 
-_SEEDS = mix(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(3, 1, SAMPLES)
-_LOW = np.uint64(0xFFFFFFFF)
+_SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 1, SAMPLES)
 
 
-def _uniform(halves: np.ndarray) -> np.ndarray:
-    return (halves.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-32)
+def _uniform(h: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    """Numbers between 0 and 1 from ``bits`` bits of ``h``."""
+    part = ((h >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.float32)
+    return (part + np.float32(0.5)) * np.float32(2.0**-bits)
 
 
 def logs(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """ln a of every sample (columns) for words (hashes) of the given counts (rows)."""
-    k = words[:, None]
-    x, y, z = (mix(k ^ s) for s in _SEEDS)
-    half = np.uint64(32)
-    r = -np.log(_uniform(x >> half) * _uniform(x & _LOW))
-    c = -np.log(_uniform(y >> half) * _uniform(y & _LOW))
-    b = _uniform(z >> half)
+    x, y = (mix(words[:, None] ^ s) for s in _SEEDS)
+    r = -np.log(_uniform(x, 0, 32) * _uniform(x, 32, 32))  # Gamma(2, 1) is a sum of two exponentials
+    c = -np.log(_uniform(y, 0, 21) * _uniform(y, 21, 21))
+    b = _uniform(y, 42, 22)
     t = np.floor(np.log(counts.astype(np.float32))[:, None] / r + b)
     return np.log(c) - r * (t - b + np.float32(1))
 
@@ -134,26 +133,25 @@ def with_fingerprints(df: DataFrame, id_: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = [t or "" for t in part.column(2).to_pylist()]
-                prints = signatures([t.encode() for t in texts])
-                here = list(zip(*(part.column(k).to_pylist() for k in (0, 1, 3)), texts, prints, strict=True))
-                done = []  # pairs of a row and its successor
-                for row in here:
-                    if held is not None and not held[2]:
-                        done.append((held, row))
-                    held = row
-                if not done:
+                ids, guests = part.column(1).to_pylist(), part.column(3).to_pylist()
+                before = [held[1:] if held else (None, None, True), *zip(ids, texts, guests, strict=True)]
+                pairs = [k for k in range(len(texts)) if not before[k][2]]  # a row and its successor, number k here
+                changed = [edited(before[k][1], texts[k]) for k in pairs]
+                prints = signatures([t.encode() for t in (*texts, *changed)])  # words in both are drawn for once
+                of = [held[0] if held else None, *prints[: len(texts)]]
+                others = prints[len(texts) :]
+                held = (of[-1], *before[-1])
+                if not pairs:
                     continue
-                changed = [edited(a[3], b[3]) for a, b in done]
-                others = signatures([t.encode() for t in changed])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([a[1] for a, _ in done], part.schema.field(1).type),
-                        pa.array([len(a[3]) for a, _ in done], pa.int64()),
+                        pa.array([before[k][0] for k in pairs], part.schema.field(1).type),
+                        pa.array([len(before[k][1]) for k in pairs], pa.int64()),
                         pa.array(changed, pa.string()),
-                        pa.array([_hex(a[4]) for a, _ in done], pa.string()),
+                        pa.array([_hex(of[k]) for k in pairs], pa.string()),
                         pa.array([_hex(e) for e in others], pa.string()),
-                        pa.array([likeness(a[4], e) for (a, _), e in zip(done, others, strict=True)], pa.float64()),
-                        pa.array([likeness(a[4], b[4]) for a, b in done], pa.float64()),
+                        pa.array([likeness(of[k], e) for k, e in zip(pairs, others, strict=True)], pa.float64()),
+                        pa.array([likeness(of[k], of[k + 1]) for k in pairs], pa.float64()),
                     ],
                     [id_, "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )

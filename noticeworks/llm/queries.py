@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, decontaminate, fingerprints, langid, lines, sharding, simhash, toxicity
+from noticeworks.llm import bpe, decontaminate, fingerprints, langid, lines, sharding, simhash, toxicity, webtext
 from noticeworks.llm.common import held_out, ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(prints).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+@query
+def op6_web_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = webtext.main_texts(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fingerprints.with_fingerprints(table(spark, sf_dir, "documents"))
