@@ -21,6 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, StructType
 
 from noticeworks.llm.common import OWN, slices
 
@@ -430,6 +431,6 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", base: str = "b
                     [*part.columns[: len(rest)], arrow([a for _, a in found]), arrow([b for b, _ in found])], [*rest, spans, base]
                 )
 
-    kind = "array<struct<kind:string,start:int,end:int>>"
+    kind = ArrayType(StructType().add("kind", "string").add("start", "int").add("end", "int"))
     schema = df.select(*rest).schema.add(spans, kind).add(base, kind)
     return df.select(*rest, df[text].alias(OWN + "text")).mapInArrow(run, schema)
