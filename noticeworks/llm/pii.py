@@ -431,6 +431,6 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", base: str = "b
                     [*part.columns[: len(rest)], arrow([a for _, a in found]), arrow([b for b, _ in found])], [*rest, spans, base]
                 )
 
-    kind = ArrayType(StructType().add("kind", "string").add("start", "int").add("end", "int"))
+    kind = ArrayType(StructType().add("kind", "string").add("start", "integer").add("end", "integer"))
     schema = df.select(*rest).schema.add(spans, kind).add(base, kind)
     return df.select(*rest, df[text].alias(OWN + "text")).mapInArrow(run, schema)
