@@ -4,12 +4,12 @@ A line is a physical line; inside long ones, a line also ends where the words th
 word whose hash is the least among its neighbours), so that a passage glued into other text is cut alike
 in every document. Each line of several documents has a holder, the document of least id that has it.
 A document is paired with every holder of enough of its words: one pair for each document and holder, however
-many documents share the line. Lines that only add up to less than a block say nothing about a pair and are
-left out, which is what makes the paired lines rare ones; no count of holders is limited.
+many documents share the line. A pair whose lines add up to less than a block is left out, so it is the rare
+lines that make pairs; no count of documents or holders is limited.
 
 In a pair, the shared lines that occur once in both are aligned by patience (longest increasing run of positions)
 and grown into blocks of neighbours; what is left is aligned again until no block is found. Blocks of
-``BLOCK`` words and more are deleted from the later document.
+``BLOCK`` words and more are deleted from the later document, with neighbouring lines that other holders have.
 
 Defined results: rows of one id are never compared with each other; a row without an id is later than all others and never a
 holder; fully equal rows get equal results; null and empty texts stay as they are; an empty table gives an
@@ -135,15 +135,36 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, th long, line int, u long, n int")
 
 
-def _aligned(pairs: DataFrame, least: int) -> DataFrame:
+def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK) -> list[tuple[int, int]]:
+    """Blocks of a document from its lines (place, holder, place in the holder, words).
+
+    Each holder is aligned by itself; a block then takes in the neighbouring lines that other holders have.
+    """
+    pairs: dict[object, list[tuple[int, int, int]]] = {}
+    for place, holder, held, n in shared:
+        pairs.setdefault(holder, []).append((place, held, n))
+    found = [b for pair in pairs.values() if sum(n for *_, n in pair) >= least for b in align(pair, least)]
+    places = {place for place, *_ in shared}
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        while a - 1 in places:
+            a -= 1
+        while b in places:
+            b += 1
+        if not out or a > out[-1][1]:
+            out.append((a, b))
+    return out
+
+
+def _aligned(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [align([(x["line"], x["held"], x["n"]) for x in s], least) for s in batch.column(2).to_pylist()]
+            blocks = [blocks_of([(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()], least) for s in batch.column(2)]
             spans = pa.array([[{"a": a, "b": b} for a, b in x] for x in blocks], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["id", "th", "spans"])
 
-    kind = pairs.schema["id"].dataType.simpleString()
-    return pairs.select("id", "th", "shared").mapInArrow(run, f"id {kind}, th long, spans array<struct<a:int,b:int>>")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "th", "shared").mapInArrow(run, f"id {kind}, th long, spans array<struct<a:int,b:int>>")
 
 
 def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
@@ -160,11 +181,9 @@ def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
     held = shared.filter("id = hid").join(held.withColumnRenamed("u", "hu"), F.expr("u = hu AND th = hth"))
     held = held.groupBy("u", "hth").agg(F.min("line").alias("held"))
     later = shared.filter("id IS NULL OR id > hid").join(held, "u")
-    item = F.struct("line", "held", "n")
-    pairs = later.groupBy("id", "th", "hid", "hth").agg(F.collect_set(item).alias("shared"), F.sum("n").alias("words"))
-    spans = _aligned(pairs.filter(F.col("words") >= least), least)
-    spans = spans.select("id", "th", F.explode("spans").alias("span")).groupBy("id", "th")
-    return spans.agg(F.collect_set("span").alias("spans"))
+    item = F.struct("line", "hid", "hth", "held", "n")
+    docs = later.groupBy("id", "th").agg(F.collect_set(item).alias("shared"), F.sum("n").alias("words"))
+    return _aligned(docs.filter(F.col("words") >= least), least).filter(F.size("spans") > 0)
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
