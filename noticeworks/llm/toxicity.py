@@ -44,7 +44,7 @@ REPORTS = "said says called calls wrote quoted reported according alleged dit se
 
 INSULT, THREAT, INTENDS, TARGET, NEGATION, REPORT, QUOTE, OTHER = "I H M G N R Q O".split()
 #: What the composed machine can put out that counts, with the prior weights of the logistic model.
-WEIGHTS = {"I": 2.0, "D": 2.5, "n": -0.5, "r": -0.3, "g": 0.5, "T": 3.0, "clauses": 0.5}
+WEIGHTS = {"I": 4.0, "D": 6.0, "n": -0.5, "r": -0.3, "g": 1.0, "T": 6.0, "clauses": 0.5}
 BIAS = -4.0
 WORD = re.compile(r"\w+|[\"“”«»]")
 CLAUSE = re.compile(r"[^.!?;\n]+")
@@ -218,7 +218,7 @@ def find_stems(rows: DataFrame) -> dict[str, float]:
     ratio = F.log((t + 0.5) / (toxic + 1)) - F.log((n + 0.5) / (other + 1))
     counts = _counted(rows).groupBy("stem").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     good = counts.filter(t >= max(3, SHARE * toxic)).select("stem", gain.alias("gain"), ratio.alias("ratio"))
-    good = good.filter("ratio > 1.5 AND gain > 8").orderBy(F.desc("gain"), F.length("stem"), "stem").limit(20 * STEMS)
+    good = good.filter("ratio > 1.5 AND gain > 8").orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem").limit(20 * STEMS)
     out: dict[str, float] = {}
     for stem, _, r in good.collect():
         body = stem.rstrip("*")
