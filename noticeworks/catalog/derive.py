@@ -14,23 +14,14 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-# Tables whose rows become records; the others are dimensions.
-LARGE = ("orders", "documents", "conversations")
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One test table. ``spread`` deals a scan with fewer splits than cores out over all cores; a scan
-    with enough splits is left alone."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, df.columns[0])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame:
     """Run a query over test tables, given as named arguments rather than session-wide views."""
-    frames = {n: table(spark, sf_dir, n, spread=n in LARGE) for n in names}
+    frames = {n: table(spark, sf_dir, n) for n in names}
     for n in names:
         query = query.replace(f"FROM {n}", f"FROM {{{n}}}").replace(f"JOIN {n} ", f"JOIN {{{n}}} ")
     return spark.sql(query, **frames)
@@ -310,7 +301,7 @@ def record_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_path="CASE WHEN d % 89 = 0 THEN NULL WHEN d % 2 = 0 THEN concat('/algorithmic-transparency-records/doc-', d, '/') "
         "ELSE concat('/algorithmic-transparency-records/doc-', d) END",
         title="CASE WHEN d % 7 = 0 THEN concat(' NATION_', d % 25, ' ') ELSE concat('NATION_', d % 25, ' : Tool: ', d) END",
-        description="substr(text, 1, 100)",
+        description="text",
         details=_struct(
             metadata=_struct(
                 algorithmic_transparency_record_atrs_version="CASE d % 4 WHEN 0 THEN 'v4.0' WHEN 1 THEN '3.0' WHEN 2 THEN 'vv2' END",

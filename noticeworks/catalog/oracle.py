@@ -168,7 +168,7 @@ _STRIPPED = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 RECORDS = f"""dc AS ({DOC_SQL}),
 rc AS (SELECT d, 'doc-' || d AS record_id, 'NATION_' || (d % 25) AS organisation_name,
     CASE d % 6 WHEN 0 THEN NULL WHEN 1 THEN 'production' WHEN 2 THEN 'private-beta' ELSE 'pilot' END AS phase,
-    substr(text, 1, 100) AS one_sentence_desc,
+    text AS one_sentence_desc,
     nullif(concat_ws(' | ', CASE WHEN d % 3 <> 2 THEN nullif({_STRIPPED}, '') END,
         CASE WHEN d % 4 = 0 THEN 'one, two& 2' END), '') AS model_architecture,
     CASE WHEN d % 5 = 1 THEN 'NINOs, age and more | Second set' ELSE 'NINOs, age and more' END AS sensitive_attributes,
@@ -234,9 +234,14 @@ def _non_null_counts() -> str:
 
 
 _WAVES = f"""WITH {NOTICES}, waves AS (
-    SELECT *, 1 AS wave FROM g WHERE k % 3 = 0 UNION ALL SELECT *, 2 AS wave FROM g)
-    SELECT notice_id, title, ai_confidence FROM waves WHERE ai_relevant AND source = 'contracts_finder'
-    QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY wave, k) = 1"""
+    SELECT *, 1 AS wave FROM g WHERE k % 3 = 0 UNION ALL SELECT *, 2 AS wave FROM g),
+    kept AS (SELECT * FROM waves WHERE ai_relevant QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY wave, k) = 1)"""
+
+_STREAMED = f"""WITH {NOTICES}, x AS (SELECT CASE WHEN k % 50 = 7 THEN 'malformed' ELSE reason END AS reason FROM n
+    WHERE k % 50 = 7 OR NOT ((k % 4 = 2 OR k % 8 = 5) AND k % 101 = 0))
+    SELECT 'n_rows' AS what, count(*) AS n FROM x UNION ALL SELECT 'n_parsed', count(*) FROM x WHERE reason IS NULL
+    UNION ALL SELECT 'n_errors', count(*) FROM x WHERE reason IS NOT NULL
+    UNION ALL SELECT reason, count(*) FROM x WHERE reason IS NOT NULL GROUP BY reason"""
 
 ORACLE: dict[str, str] = {
     "q_flagship": f"WITH {_GAP} SELECT * FROM gap",
@@ -446,7 +451,8 @@ ORACLE: dict[str, str] = {
     "q_keep_first": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (
         PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) = 1""",
     "q_load_archive": f"""WITH {NOTICES} SELECT notice_id, title, ai_confidence, published_date FROM g
-        WHERE ai_relevant AND source = 'contracts_finder'
-        QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY k) = 1""",
-    "q_incremental": _WAVES,
+        WHERE ai_relevant QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY k) = 1""",
+    "q_incremental": f"{_WAVES} SELECT notice_id, title, ai_confidence FROM kept",
+    "q_one_table": f"{_WAVES} SELECT notice_id, ai_confidence FROM kept WHERE source = 'contracts_finder'",
+    "q_stream_counts": _STREAMED,
 }

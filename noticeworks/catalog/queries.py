@@ -20,13 +20,15 @@ from noticeworks.operators.median import exact_median
 from noticeworks.plans import explore, export, feeds, gold
 from noticeworks.plans.load import archive_notices, load_archive
 from noticeworks.plans.notices import good, parse_releases, quarantine
-from noticeworks.schemas import TABLES, append_by_name, conform, evolve, read_table
+from noticeworks.plans.store import read_runs
+from noticeworks.schemas import TABLES, append_by_name, conform, empty, evolve, read_table
 from noticeworks.session import configure, new_path
 from noticeworks.sources import archives, html, pages, seeds
-from noticeworks.streaming.incremental import read_stored, start_ingest
+from noticeworks.streaming.incremental import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BOTH = (fixed.CONTRACTS_FINDER, fixed.FIND_A_TENDER)
 
 
 def query(fn: Query) -> Query:
@@ -52,7 +54,7 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nothing(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[name])
+    return empty(spark, TABLES[name])
 
 
 def silver_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +232,7 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run lands every page, a second run of the same days a fifth of them again; then the
     second run is repeated, as after a failure."""
     root = new_path(spark, "bronze")
-    landed = derive.table(spark, sf_dir, "pages", spread=True).selectExpr(
+    landed = derive.table(spark, sf_dir, "pages").selectExpr(
         "CAST(page_id AS STRING) AS page",
         "html AS body",
         "concat('web', page_id % 3) AS source",
@@ -389,7 +391,7 @@ def q_parse_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = derive.record_items(spark, sf_dir).select(F.lit("doc").alias("kind"), F.col("d").alias("key"), "body")
-    plain = derive.table(spark, sf_dir, "pages", spread=True).select(F.lit("page"), "page_id", "html")
+    plain = derive.table(spark, sf_dir, "pages").select(F.lit("page"), "page_id", "html")
     found = bodies.unionAll(plain).select("kind", "key", F.explode_outer(html.html_sections("body")).alias("s"))
     hrefs = F.nullif(F.array_join("s.hrefs", " "), F.lit(""))
     return found.select("kind", "key", "s.id", "s.text", hrefs.alias("hrefs"))
@@ -410,7 +412,7 @@ def q_section_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.table(spark, sf_dir, "documents", spread=True).select(
+    return derive.table(spark, sf_dir, "documents").select(
         "doc_id",
         text_key("text").alias("full_key"),
         text_key("text", 50).alias("short_key"),
@@ -462,7 +464,7 @@ def q_money_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.lower("text")
-    return derive.table(spark, sf_dir, "documents", spread=True).select(
+    return derive.table(spark, sf_dir, "documents").select(
         "doc_id",
         any_keyword(text, fixed.STRONG_KEYWORDS).alias("strong"),
         any_keyword(text, CORPUS_KEYWORDS).alias("corpus"),
@@ -789,28 +791,64 @@ def q_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_load_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive files loaded twice: the second time adds nothing."""
+    """Archive files of both sources loaded twice into one table: the second time adds nothing."""
     root = new_path(spark, "load")
-    lines = derive.archive_lines(spark, sf_dir).filter(F.col("src") == fixed.CONTRACTS_FINDER)
-    _in_order(lines).write.text(f"{root}/archive")
-    for _ in range(2):
-        load_archive(spark, f"{root}/archive", f"{root}/table", fixed.CONTRACTS_FINDER)
-    return read_table(spark, f"{root}/table", TABLES["procurement_notices"]).select(
+    lines = derive.archive_lines(spark, sf_dir)
+    for source in BOTH:
+        _in_order(lines.filter(F.col("src") == source)).write.text(f"{root}/{source}")
+    for source in BOTH * 2:
+        load_archive(spark, f"{root}/{source}", f"{root}/table", source)
+    return read_runs(spark, f"{root}/table").select(
         "notice_id", "title", "ai_confidence", "published_date"
     )
 
 
 @query
 def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two waves of files, the second holding the first again; a stream run after each."""
+    """Two waves of files of each source, the second holding the first again; a stream run after each."""
     root = new_path(spark, "stream")
+    lines = derive.archive_lines(spark, sf_dir)
+    for source in BOTH:
+        own = lines.filter(F.col("src") == source)
+        for wave in (own.filter("_ord % 3 = 0"), own):
+            _in_order(wave).write.mode("append").text(f"{root}/{source}")
+            start_ingest(
+                spark, f"{root}/{source}", f"{root}/table", f"{root}/checkpoint-{source}", source
+            ).awaitTermination()
+    return read_runs(spark, f"{root}/table").select("notice_id", "title", "ai_confidence")
+
+
+@query
+def q_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads and streams into one table, a fresh checkpoint and a repeated load: every notice once."""
+    root = new_path(spark, "one")
     lines = derive.archive_lines(spark, sf_dir).filter(F.col("src") == fixed.CONTRACTS_FINDER)
-    for wave in (lines.filter("_ord % 3 = 0"), lines):
-        _in_order(wave).write.mode("append").text(f"{root}/landing")
+    _in_order(lines.filter("_ord % 3 = 0")).write.text(f"{root}/archive")
+    _in_order(lines).write.text(f"{root}/landing")
+    load_archive(spark, f"{root}/archive", f"{root}/table", fixed.CONTRACTS_FINDER, run="first")
+    for checkpoint in ("a", "b"):
         start_ingest(
-            spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", fixed.CONTRACTS_FINDER
+            spark, f"{root}/landing", f"{root}/table", f"{root}/{checkpoint}", fixed.CONTRACTS_FINDER
         ).awaitTermination()
-    return read_stored(spark, f"{root}/table").select("notice_id", "title", "ai_confidence")
+    load_archive(spark, f"{root}/archive", f"{root}/table", fixed.CONTRACTS_FINDER, run="first")
+    return read_runs(spark, f"{root}/table").select("notice_id", "ai_confidence")
+
+
+@query
+def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a streamed run read, set aside by reason, and added; every 50th line is cut off in the middle."""
+    root = new_path(spark, "counted")
+    lines = derive.archive_lines(spark, sf_dir)
+    cut = F.when(F.col("_ord") % 50 == 7, F.concat(F.lit("{"), F.col("line"))).otherwise(F.col("line"))
+    _in_order(lines.withColumn("line", cut)).write.text(f"{root}/landing")
+    counts: list[dict] = []
+    start_ingest(
+        spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", fixed.CONTRACTS_FINDER,
+        quarantine_path=f"{root}/bad", on_counts=lambda _, c: counts.append(c),
+    ).awaitTermination()
+    total = [(k, sum(c[k] for c in counts)) for k in ("n_rows", "n_parsed", "n_errors")]
+    bad = spark.read.schema("reason string").parquet(f"{root}/bad").groupBy("reason").agg(F.count("*").alias("n"))
+    return spark.createDataFrame(total, "what string, n long").union(bad.select(F.col("reason"), "n"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ DOC_SCALARS = {
     "d": "doc_id",
     "link": """CASE WHEN doc_id % 97 = 0 THEN NULL ELSE concat('/government/news/doc-',
         CAST(CASE WHEN doc_id % 10 = 8 THEN doc_id - 1 ELSE doc_id END AS STRING)) END""",
-    "atitle": "concat(CASE WHEN doc_id % 4 = 0 THEN 'AI Growth: ' ELSE '' END, substr(text, 1, 60))",
+    "atitle": "concat(CASE WHEN doc_id % 4 = 0 THEN 'AI Growth: ' ELSE '' END, text)",
     "adesc": "CASE WHEN doc_id % 5 = 0 THEN NULL ELSE text END",
     "dtype": """CASE doc_id % 10 WHEN 0 THEN 'press_release' WHEN 1 THEN 'news_story'
         WHEN 2 THEN 'policy_paper' WHEN 3 THEN 'consultation' WHEN 4 THEN 'guidance'
@@ -74,7 +74,7 @@ TURN_SCALARS = {
     "conv_id": "conv_id",
     "turn": "turn",
     "house": "CASE role WHEN 'user' THEN 'Commons' WHEN 'assistant' THEN 'Lords' END",
-    "heading": "substr(text, 1, 40)",
+    "heading": "text",
     "text": "text",
     "dept": "CASE WHEN conv_id % 13 = 0 THEN NULL ELSE concat('Department ', CAST(conv_id % 7 AS STRING)) END",
     "day": "DATE '2022-11-01' + CAST((conv_id * 17 + turn) % 800 AS INT)",

@@ -251,23 +251,57 @@ def stage(r: Column) -> Column:
 # --- wrong types ---------------------------------------------------------------------------------
 
 
+_AWARD_SHAPES = "array<struct<value string, suppliers string, documents string, contractPeriod string>>"
+
+
 def type_reason(release: str, r: Column, awards: Column) -> Column:
     """Why a release with something else in place of an object or list cannot be read, or NULL.
 
-    The text is looked at again only where the parsed part is missing.
+    The text is looked at again only where the parsed part is missing though its name occurs. The planning
+    part is read only without a tender title, so only then it matters.
     """
+    text = F.col(release)
+    no_title = blank_to_null(r["tender"]["title"]).isNull()
 
-    def no_object(part: str) -> Column:
-        return r[part].isNull() & F.get_json_object(F.col(release), f"$.{part}").isNotNull()
+    def missing(path: str) -> Column:
+        part = r
+        for name in path.split("."):
+            part = part[name]
+        named = F.contains(text, F.lit(f'"{path.split(".")[-1]}"'))
+        return part.isNull() & named & F.get_json_object(text, f"$.{path}").isNotNull()
+
+    objects = ("tender", "buyer", "buyer.identifier", "tender.value", "tender.classification", "tender.contractPeriod")
+    lists = ("tender.items", "tender.documents", "relatedProcesses", "tag")
+    found = F.when(r.isNull(), None)
+    for path in objects:
+        found = found.when(missing(path), f"{path} is no object")
+    for path in ("planning", "planning.project"):
+        found = found.when(no_title & missing(path), f"{path} is no object")
+    for path in lists:
+        found = found.when(missing(path), f"{path} is no list")
+    no_list = (awards.isNull() & blank_to_null(r["awards"]).isNotNull()) | (
+        r["awards"].startswith("{") & (r["awards"] != "{}")
+    )
+    shapes = F.from_json(r["awards"], _AWARD_SHAPES)
+
+    def wrong(part: str, sign: str) -> Column:
+        return F.exists(shapes, lambda a: F.coalesce(~a[part].startswith(sign), F.lit(False)))
 
     return (
-        F.when(r.isNull(), None)
-        .when(no_object("tender"), "tender is no object")
-        .when(no_object("buyer"), "buyer is no object")
-        .when(awards.isNull() & blank_to_null(r["awards"]).isNotNull(), "awards is no list")
+        found.when(no_list, "awards is no list")
+        .when(wrong("value", "{"), "award value is no object")
+        .when(wrong("suppliers", "["), "award suppliers is no list")
+        .when(wrong("documents", "["), "award documents is no list")
+        .when(wrong("contractPeriod", "{"), "award contract period is no object")
     )
 
 
+def zero_id(release: str, r: Column) -> Column:
+    """Whether the id is the number 0, which counts as none; the text "0" is an id."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(release), "$.id", "variant"))
+    return r["id"].rlike(r"^-?0+(\.0+)?$") & F.coalesce(kind != "STRING", F.lit(False))
+
+
 # --- explicit nulls -------------------------------------------------------------------------------
 
 

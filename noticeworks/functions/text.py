@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}([T ]\d{1,2}:\d{2}.*)?$"
 # Java's \s is ASCII only under plain matching; (?U) makes it cover every Unicode blank.
 EDGE_BLANKS = r"(?U)^\s+|\s+$"
 
@@ -61,7 +62,9 @@ def to_number(text: Column | str) -> Column:
 
 
 def to_instant(text: Column | str) -> Column:
-    return col(text).try_cast("timestamp")
+    """TIMESTAMP from an ISO date, alone or with a time; a bare time or year is NULL, not part of today."""
+    c = F.trim(col(text))
+    return F.when(c.rlike(ISO_INSTANT), c.try_cast("timestamp"))
 
 
 def month_of(day: Column | str) -> Column:

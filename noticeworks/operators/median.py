@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKETS = 4096
-_DIRECT = 1_000_000
+_DIRECT = 100_000
 
 
 def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: int = _DIRECT) -> float | None:
@@ -19,11 +19,18 @@ def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: in
     v = df.select(F.col(column).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    n, low, high = v.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if not n:
+    inf = float("inf")
+    finite = F.when(F.abs("v") < inf, F.col("v"))
+    total, n, below, low, high = v.agg(
+        F.count("v"), F.count(finite), F.count_if(F.col("v") == -inf), F.min(finite), F.max(finite)
+    ).first()
+    if not total:
         return None
-    first, last = (n - 1) // 2 + 1, n // 2 + 1  # 1-based ranks of the two middle values
-    below = 0
+    first, last = (total - 1) // 2 + 1, total // 2 + 1  # 1-based ranks of the two middle values
+    ends = [-inf if rank <= below else inf for rank in (first, last) if not below < rank <= below + n]
+    if ends:  # a middle value is infinite; opposite ends have no middle
+        return ends[0] if ends[0] == ends[-1] else float("nan")
+    v = v.filter(F.abs("v") < inf)
     while low != high and n > direct:
         inside = v.filter(F.col("v").between(low, high))
         # Halved first, so that the width of the widest range does not overflow.
@@ -40,7 +47,10 @@ def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: in
         mid = cut[0]
         if mid["upto"] < last:  # the two middle values lie on both sides of a bucket edge
             return (mid["hi"] + cut[1]["lo"]) / 2
+        narrowed = (mid["lo"], mid["hi"]) != (low, high)
         below, n, low, high = mid["upto"] - mid["n"], mid["n"], mid["lo"], mid["hi"]
+        if not narrowed:
+            break
     if low == high:
         return low
     ranked = (

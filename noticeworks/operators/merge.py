@@ -80,18 +80,14 @@ def merge_records(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """Transparency records: no relevance filter, and a new key may occur only once per batch.
 
     A repeated key fails the job that reads the result, as a unique key would fail the insert.
-    :func:`duplicate_keys` lists the repeated ones. The test is part of the plan, so the batch is
-    read once.
+    :func:`duplicate_keys` lists the repeated ones. The test is part of the plan and counts the keys alone;
+    whole rows are neither sorted nor shuffled for it.
     """
     key = KEYS["atrs_records"]
     fresh = conform(new_rows(batch, existing, key, None), TABLES["atrs_records"])
-    counted = fresh.groupBy(F.col(key).alias("_key")).agg(
-        F.any_value(F.struct(*fresh.columns)).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
-    once = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-        F.raise_error(F.concat(F.lit("key occurs more than once in the batch: "), F.col("_key")))
-    )
-    return counted.select(once.alias("_row")).select("_row.*")
+    repeated = duplicate_keys(fresh.select(key), key).agg(F.max(key)).scalar()
+    fails = F.raise_error(F.concat(F.lit("key occurs more than once in the batch: "), repeated)).cast("boolean")
+    return fresh.filter(F.when(repeated.isNull(), F.lit(True)).otherwise(fails))
 
 
 def merge_seed(rows: DataFrame, existing: DataFrame, table: str, order: list[Column | str]) -> DataFrame:

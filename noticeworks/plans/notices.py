@@ -73,7 +73,10 @@ def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, len
     and used for any number of inputs: building them takes longer than planning a query."""
     r, aw = F.col("r"), F.col("aw")
     first = [
-        first_non_blank("r.id", "compiled_id" if made_up else F.lit(None)).alias("_id"),
+        first_non_blank(
+            F.when(~F.coalesce(ocds.zero_id(release, r), F.lit(False)), F.col("r.id")),
+            F.col("compiled_id") if made_up else F.lit(None),
+        ).alias("_id"),
         ocds.headline_value(r, aw).alias("_value"),
         ocds.headline_supplier(aw).alias("_supplier"),
         ocds.award_period(aw).alias("_period"),
@@ -81,6 +84,7 @@ def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, len
         ocds.cpv_codes(r).alias("_cpv"),
         ocds.notice_title(r).alias("_title"),
         ocds.type_reason(release, r, aw).alias("_wrong"),
+        F.contains(release, F.lit("null")).alias("_has_null"),
     ]
     second = {
         "_dates": ocds.contract_dates(r, "_period"),
@@ -94,7 +98,9 @@ def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, len
     reason = F.coalesce(reason, F.col("_wrong"))
     if not lenient:
         nulls = ocds.null_reason(F.col("v"), r, aw, F.col("_period"))
-        reason = F.coalesce(reason, F.when(F.col("v").isNotNull(), nulls))
+        # A text with a null that the strict parser refuses (a key twice, say) must not pass unchecked.
+        unchecked = F.when(F.col("_has_null") & F.col("v").isNull(), "explicit nulls cannot be told")
+        reason = F.coalesce(reason, F.when(F.col("v").isNotNull(), nulls), unchecked)
     reason = F.coalesce(reason, F.when(F.col("_amount").isNotNull() & amount.isNull(), "amount is no number"))
     published, start, end = F.col("_dates.published"), F.col("_dates.start"), F.col("_dates.end")
     forwards = ~ocds.backwards("_dates")

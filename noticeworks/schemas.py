@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -109,12 +108,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType, **options: st
 
     Files may differ in columns: they are matched by name and missing ones are NULL.
     """
-    try:
-        return spark.read.options(**options).schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    if not exists(spark, path):
+        return empty(spark, schema)
+    return spark.read.options(**options).schema(schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows. Unlike a frame made from an empty list, the optimizer sees that, and drops joins with it."""
+    fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+    return spark.sql(f"SELECT {fields} WHERE false")
 
 
 def create_tables(spark: SparkSession, root: str) -> list[str]:
@@ -124,11 +131,7 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
     """
     created = []
     for name, schema in TABLES.items():
-        try:
-            spark.read.schema(schema).parquet(f"{root}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(spark, f"{root}/{name}"):
             spark.createDataFrame([], schema).write.parquet(f"{root}/{name}")
             created.append(name)
     return created

@@ -126,6 +126,8 @@ def _read_beside(parent: _Node, read: dict[int, dict]) -> None:
         if s.tag in ("h2", "h3"):
             end()
             heading, texts, hrefs = (s if s.tag == "h3" and s.attrs.get("id") else None), [], []
+        elif heading is None:
+            continue  # what stands under no section is not gathered: unclosed tags nest as deep as a page is long
         elif s.tag == "p":
             texts.append(s.text(" "))
             hrefs += [a.attrs["href"] or "" for a in s.walk() if a.tag == "a" and "href" in a.attrs]

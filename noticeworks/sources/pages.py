@@ -107,6 +107,12 @@ def years(df: DataFrame, year: str, first: int | None, last: int | None) -> Data
     return df
 
 
+def run_order(run_id: str) -> Column:
+    """Sorts run ids with their numbers as numbers, so that ``run-10`` comes after ``run-9``."""
+    parts = F.regexp_extract_all(F.col(run_id), F.lit(r"\d+|\D+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 20, "0")).otherwise(x)), "")
+
+
 def write_bronze(pages: DataFrame, root: str, run_id: str) -> None:
     """Store raw pages ``(page, body, source, run_date)`` under source, day and run.
 
@@ -124,4 +130,4 @@ def write_bronze(pages: DataFrame, root: str, run_id: str) -> None:
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Raw pages, each once per source and day, as the latest run of that day left it."""
     stored = spark.read.schema(BRONZE_SCHEMA).parquet(root)
-    return keep_first(stored, ["source", "run_date", "page"], [F.col("run_id").desc()])
+    return keep_first(stored, ["source", "run_date", "page"], [run_order("run_id").desc(), F.col("run_id").desc()])

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from noticeworks.functions.relevance import RelevanceConfig
 from noticeworks.plans.load import load_archive
 from noticeworks.schemas import TABLES, read_table
-from noticeworks.sources.archives import normalise_packages, read_lines, split_lines
-from noticeworks.streaming.incremental import merge_batch, read_stored, start_ingest
+from noticeworks.sources.archives import normalise_packages, read_lines, split_lines, unpack_lines
+from noticeworks.plans.store import read_runs, write_run
+from noticeworks.streaming.incremental import merge_batch, start_ingest
 
 
 def release(ocid, title="AI service", id="r1"):
@@ -105,7 +106,7 @@ def test_load_counts_and_quarantines(spark, tmp_path):
     path = write(tmp_path / "a.jsonl", lines)
     counts = Observation()
     assert load_archive(spark, path, str(tmp_path / "t"), "find_a_tender", counts=counts, quarantine_path=str(tmp_path / "q")) == 1
-    assert counts.get == {"n_rows": 4, "n_parsed": 2, "n_relevant": 1, "n_errors": 2}
+    assert counts.get == {"n_rows": 5, "n_parsed": 2, "n_relevant": 1, "n_errors": 3}  # the cut line counts, too
     bad = spark.read.parquet(str(tmp_path / "q")).collect()
     assert sorted(r["reason"] for r in bad) == ["malformed", "no ocid or id", "tender is null"]
     assert all(r["file"].endswith("a.jsonl") for r in bad) and "{bad" in {r["text"] for r in bad}
@@ -133,7 +134,7 @@ def test_other_config(spark, tmp_path):
 
 
 def stored(spark, table):
-    return sorted((r["notice_id"], r["title"]) for r in read_stored(spark, table).collect())
+    return sorted((r["notice_id"], r["title"]) for r in read_runs(spark, table).collect())
 
 
 def run_stream(spark, root):
@@ -159,4 +160,43 @@ def test_batch_run_again_replaces_itself(spark, tmp_path):
     before = stored(spark, table)
     merge_batch(batch(release("b", "AI later"), release("c")), 1, table, "contracts_finder")
     assert stored(spark, table) == before == [("a::r1", "AI service"), ("b::r1", "AI service"), ("c::r1", "AI service")]
-    assert read_stored(spark, table).filter(F.col("batch_id") == 1).count() == 1
+    assert read_runs(spark, table).filter(F.col("run") == "batch-1").count() == 1
+
+
+def test_loads_and_streams_share_one_table(spark, tmp_path):
+    """Nothing a load stored is lost to a stream, nor to a second stream with a checkpoint of its own."""
+    (tmp_path / "in").mkdir()
+    path = write(tmp_path / "a.jsonl", [release(f"o{i}", f"AI load {i}") for i in range(5)])
+    table = f"{tmp_path}/table"
+    assert load_archive(spark, path, table, "contracts_finder", run="old") == 5
+    write(tmp_path / "in" / "1.jsonl", [release(f"o{i}", f"AI stream {i}") for i in range(3, 9)])
+    run_stream(spark, tmp_path)
+    want = [(f"o{i}::r1", f"AI {'load' if i < 5 else 'stream'} {i}") for i in range(9)]
+    assert stored(spark, table) == want
+    write(tmp_path / "in" / "2.jsonl", [release("o9", "AI stream 9")])
+    start_ingest(spark, f"{tmp_path}/in", table, f"{tmp_path}/other", "contracts_finder").awaitTermination()
+    assert stored(spark, table) == [*want, ("o9::r1", "AI stream 9")]
+    assert load_archive(spark, path, table, "contracts_finder", run="old") == 5
+    assert stored(spark, table) == [*want, ("o9::r1", "AI stream 9")]
+    with pytest.raises(ValueError):
+        write_run(read_runs(spark, table), table, "a/b")
+
+
+def test_stream_counts_and_sets_aside(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "1.jsonl", [release("a"), "{bad", {"ocid": "c", "id": "1", "tender": None}])
+    seen = []
+    start_ingest(
+        spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/cp", "contracts_finder",
+        quarantine_path=f"{tmp_path}/bad", on_counts=lambda n, c: seen.append((n, c)),
+    ).awaitTermination()
+    assert seen == [(0, {"n_rows": 3, "n_parsed": 1, "n_relevant": 1, "n_errors": 2, "n_added": 1})]
+    assert sorted(r["reason"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()) == ["malformed", "tender is null"]
+
+
+def test_bare_nan_is_read_once(spark):
+    lines = ['{"releases": [{"ocid": "a", "id": "1", "x": NaN}]}', '{"ocid": "b", "id": "1", "x": -Infinity}', '{"x": NaN']
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(lines)], "line string, _ord int")
+    assert [r["reason"] for r in split_lines(df)[1].collect()] == ["malformed"]
+    assert normalise_packages(df).count() == 2
+    assert sorted((r["_ord"], r["line_reason"]) for r in unpack_lines(df).collect()) == [(0, None), (1, None), (2, "malformed")]

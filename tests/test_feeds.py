@@ -259,3 +259,11 @@ def test_section_reader_travels_without_the_package(tmp_path):
     code = "import pickle; f = pickle.load(open('f.pkl', 'rb')); print(f('<h3 id=a></h3><p>x</p>')[0]['text'])"
     done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True)
     assert done.stdout.strip() == "x", done.stderr
+
+
+def test_unclosed_paragraphs_take_linear_time():
+    import time
+
+    start = time.time()
+    assert read_sections("<h3>none</h3>" + "<p>" * 50_000 + "x<h3 id=a></h3><p>text</p>")[0]["text"] == "text"
+    assert time.time() - start < 5

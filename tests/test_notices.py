@@ -341,3 +341,33 @@ def test_dedup_and_keep_first_cut_groups_before_the_shuffle(spark):
 def test_parse_happens_once(spark):
     plan = good(parse(spark, AWARD)).select("notice_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(StructField(ocid") == 1
+
+
+@pytest.mark.parametrize(
+    ("release", "reason"),
+    [
+        (tender(items={"id": "1"}), "tender.items is no list"),
+        (tender(documents={"url": "u"}), "tender.documents is no list"),
+        (tender(value=5), "tender.value is no object"),
+        (tender(classification="CPV"), "tender.classification is no object"),
+        (changed(buyer={"name": "B", "identifier": "x"}), "buyer.identifier is no object"),
+        (changed(tag="award"), "tag is no list"),
+        (changed(tender={"status": "open"}, planning="soon"), "planning is no object"),
+        (changed(planning="soon"), None),  # not looked at beside a tender title
+        (changed(awards={"id": "a"}), "awards is no list"),
+        (changed(awards=[{"value": 7}]), "award value is no object"),
+        (changed(awards=[{"suppliers": {"name": "x"}}]), "award suppliers is no list"),
+        (changed(awards=[{"documents": "x"}]), "award documents is no list"),
+        (changed(awards=[{"contractPeriod": "2024"}]), "award contract period is no object"),
+        (changed(id=0), "no ocid or id"),
+        (changed(id="0"), None),
+        (changed(id=7), None),
+    ],
+)
+def test_every_wrongly_typed_part_has_a_reason(spark, release, reason):
+    assert one(spark, release)["reason"] == reason
+
+
+def test_a_key_given_twice_does_not_hide_a_null(spark):
+    text = json.dumps(without("awards"))[:-1] + ', "x": 1, "x": 2, "awards": null}'
+    assert one(spark, text)["reason"] == "explicit nulls cannot be told"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import fixed_values as fixed
 from noticeworks.functions.display import money, money_bn, supplier_summary
-from noticeworks.functions.text import last_segment, strip, text_key, to_day, to_number, version_label
+from noticeworks.functions.text import last_segment, strip, text_key, to_day, to_instant, to_number, version_label
 from noticeworks.operators import lookup, orgs
 from noticeworks.operators.dedup import first_n_per_key, keep_first
 from noticeworks.operators.lookup import is_small, measured
@@ -19,7 +19,8 @@ from noticeworks.operators.median import exact_median
 from noticeworks.operators.merge import known_keys
 from noticeworks.operators.orgs import alias_join, resolve, unmatched_names
 from noticeworks.plans import explore, export, gold
-from noticeworks.schemas import TABLES, append_by_name, columns, conform, create_tables, evolve, read_table, shipped_aliases, shipped_growth_zones
+from noticeworks.schemas import TABLES, append_by_name, columns, conform, create_tables, empty, evolve, read_table, shipped_aliases, shipped_growth_zones
+from noticeworks.sources.pages import run_order
 from noticeworks.sources.seeds import read_seed_csv
 
 
@@ -327,3 +328,33 @@ def test_export_of_empty_tables(spark, tmp_path):
 def test_shipped_values():
     assert set(fixed.STATUS_LABELS) >= {"awarded", "open", "planned", "closed"}
     assert len(fixed.ANNOUNCEMENT_QUERIES) == 9 and len(fixed.ANNOUNCEMENT_DOCUMENT_TYPES) == 8
+
+
+def test_median_of_infinities(spark):
+    inf = float("inf")
+
+    def median(*values, **options):
+        return exact_median(spark.createDataFrame([(v,) for v in values], "v double"), "v", **options)
+
+    assert median(1.0, 2.0, 4.0, inf, direct=1) == 3.0
+    assert median(inf, inf, 1.0) == inf and median(-inf, 1.0, -inf) == -inf
+    assert median(inf, 1.0) == inf and median(1.0, -inf, 3.0, 2.0, direct=1) == 1.5
+    assert math.isnan(median(inf, -inf))
+
+
+def test_runs_are_ordered_by_number(spark):
+    ids = ["run-10", "run-9", "run-1", "2025-01-31T10", "2025-02-01T09"]
+    df = spark.createDataFrame([(i,) for i in ids], "run_id string")
+    assert [r["run_id"] for r in df.orderBy(run_order("run_id")).collect()] == ["2025-01-31T10", "2025-02-01T09", "run-1", "run-9", "run-10"]
+
+
+def test_instants_need_a_date(spark):
+    texts = ["12:30", "2024", "2024-05-06", "2024-05-06T10:00:00Z", "2024-05-06 10:00", "soon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] is not None for r in df.select(to_instant("t")).collect()] == [False, False, True, True, True, False, False]
+
+
+def test_absent_tables_leave_no_join(spark):
+    rows = spark.range(5).selectExpr("CAST(id AS string) AS notice_id")
+    plan = rows.join(empty(spark, TABLES["procurement_notices"]).select("notice_id"), "notice_id", "left_anti")
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
