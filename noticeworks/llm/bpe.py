@@ -32,7 +32,7 @@ from noticeworks.llm.common import OWN, slices
 #: Byte b is written as the character with code 256 + b: no white space, no sign special to the library.
 FIRST_CHAR = 256
 #: Parts remembered per worker, and the longest ones; when full, the memory starts anew. Bounds memory, not results.
-KEPT, LONG = 200_000, 60
+KEPT, LONG = 150_000, 60
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -47,8 +47,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that go to a Python worker at once. Texts are long, so fewer than by default.
+BATCH_ROWS = 500
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application, and bound what they hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if _shipped.get("to") != context.applicationId:
         package = Path(__file__).resolve().parents[1]
@@ -74,7 +79,7 @@ def delete_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` whose byte column adds up to about ``limit`` bytes; one long value is a part."""
     lengths = [len(v) if v is not None else 0 for v in _buffers(batch.column(column))]
     start = size = 0
