@@ -453,6 +453,11 @@ ORACLE: dict[str, str] = {
     "q_load_archive": f"""WITH {NOTICES} SELECT notice_id, title, ai_confidence, published_date FROM g
         WHERE ai_relevant QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY k) = 1""",
     "q_incremental": f"{_WAVES} SELECT notice_id, title, ai_confidence FROM kept",
+    "q_load_announcements": f"""WITH {ANNOUNCEMENTS} SELECT announcement_id, title, ai_confidence, 'one' AS run FROM ag
+        WHERE ai_relevant AND document_type IN ({", ".join(f"'{t}'" for t in fixed.ANNOUNCEMENT_DOCUMENT_TYPES)})
+        QUALIFY row_number() OVER (PARTITION BY announcement_id ORDER BY d) = 1""",
+    "q_load_questions": f"WITH {QUESTIONS} SELECT question_id, department, date_tabled FROM qsilver",
+    "q_load_records": f"WITH {RECORDS} SELECT record_id, organisation_name, sensitive_attributes FROM rc",
     "q_one_table": f"{_WAVES} SELECT notice_id, ai_confidence FROM kept WHERE source = 'contracts_finder'",
     "q_stream_counts": _STREAMED,
 }

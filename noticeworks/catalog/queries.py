@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +17,7 @@ from noticeworks.functions.text import last_segment, text_key, to_day, to_number
 from noticeworks.operators import merge, orgs
 from noticeworks.operators.dedup import keep_first
 from noticeworks.operators.median import exact_median
-from noticeworks.plans import explore, export, feeds, gold
+from noticeworks.plans import explore, export, feed_loads, feeds, gold
 from noticeworks.plans.load import archive_notices, load_archive
 from noticeworks.plans.notices import good, parse_releases, quarantine
 from noticeworks.plans.store import read_runs
@@ -851,6 +851,45 @@ def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(total, "what string, n long").union(bad.select(F.col("reason"), "n"))
 
 
+def _land(items: DataFrame, number: str, root: str) -> Column:
+    """Write ``item``s as result pages of 50, a file each; returns how a page is named by its file."""
+    page = F.floor(F.col(number) / 50).cast("string").alias("page")
+    pages_ = items.select(page, F.struct(F.col(number).alias("n"), "item").alias("i")).groupBy("page")
+    inside = F.array_join(F.transform(F.sort_array(F.collect_list("i")), lambda i: i["item"]), ",")
+    body = F.concat(F.lit('{"total": 1, "results": ['), inside, F.lit("]}"))
+    pages_.agg(body.alias("body")).repartition("page").write.partitionBy("page").text(root)
+    return F.concat(F.lit("page-"), F.regexp_extract(F.col("_metadata.file_path"), "page=([0-9]+)", 1))
+
+
+def _loaded(spark: SparkSession, feed: feed_loads.Feed, items: DataFrame, number: str) -> DataFrame:
+    """Page files of ``items`` loaded, and loaded again as another run, which adds nothing."""
+    root = new_path(spark, feed.table)
+    page = _land(items, number, f"{root}/pages")
+    for run in ("one", "two"):
+        feed_loads.load_feed(spark, f"{root}/pages", f"{root}/table", feed, run, page=page)
+    return read_runs(spark, f"{root}/table", feed.table)
+
+
+@query
+def q_load_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.announcement_items(spark, sf_dir)
+    return _loaded(spark, feed_loads.ANNOUNCEMENTS, items, "d").select("announcement_id", "title", "ai_confidence", "run")
+
+
+@query
+def q_load_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.question_items(spark, sf_dir)
+    return _loaded(spark, feed_loads.QUESTIONS, items.withColumn("n", F.col("conv_id") * 50 + F.col("turn") % 50), "n").select(
+        "question_id", "department", "date_tabled"
+    )
+
+
+@query
+def q_load_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.record_items(spark, sf_dir)
+    return _loaded(spark, feed_loads.RECORDS, items, "d").select("record_id", "organisation_name", "sensitive_attributes")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which organisations buy but do not register? From archive lines to the reporting gap."""
     configure(spark)

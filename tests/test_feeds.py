@@ -267,3 +267,31 @@ def test_unclosed_paragraphs_take_linear_time():
     start = time.time()
     assert read_sections("<h3>none</h3>" + "<p>" * 50_000 + "x<h3 id=a></h3><p>text</p>")[0]["text"] == "text"
     assert time.time() - start < 5
+
+
+def test_pages_are_loaded_once_and_in_page_order(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from noticeworks.plans.feed_loads import ANNOUNCEMENTS, load_feed
+    from noticeworks.plans.store import read_runs
+
+    def item(link, title, kind="news_story"):
+        return {"link": link, "title": title, "content_store_document_type": kind}
+
+    pages = {
+        "page-2.json": [item("/a", "AI second"), item(None, "AI nowhere"), item("/b", "Cleaning")],
+        "page-10.json": [item("/a", "AI tenth"), item("/c", "AI guide", "guidance"), item("/d", "AI plan", "policy_paper")],
+    }
+    for name, items in pages.items():
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text(json.dumps({"results": items}))
+    counts = Observation()
+    paths = f"{tmp_path}/in", f"{tmp_path}/table"
+    assert load_feed(spark, *paths, ANNOUNCEMENTS, run="x", counts=counts, quarantine_path=f"{tmp_path}/bad") == 2
+    assert counts.get == {"n_rows": 5, "n_parsed": 4, "n_relevant": 3, "n_errors": 1}
+    want = [("/a", "AI second"), ("/d", "AI plan")]
+    assert sorted((r["announcement_id"], r["title"]) for r in read_runs(spark, paths[1], "gov_announcements").collect()) == want
+    assert load_feed(spark, *paths, ANNOUNCEMENTS) == 0 and load_feed(spark, *paths, ANNOUNCEMENTS, run="x") == 2
+    assert read_runs(spark, paths[1], "gov_announcements").count() == 2
+    bad = spark.read.parquet(f"{tmp_path}/bad").collect()
+    assert [(r["file"], r["reason"]) for r in bad] == [("page-2.json", "no link")]
