@@ -280,7 +280,7 @@ def test_pages_are_loaded_once_and_in_page_order(spark, tmp_path):
 
     pages = {
         "page-2.json": [item("/a", "AI second"), item(None, "AI nowhere"), item("/b", "Cleaning")],
-        "page-10.json": [item("/a", "AI tenth"), item("/c", "AI guide", "guidance"), item("/d", "AI plan", "policy_paper")],
+        "page-10.json": [item("/a", "AI tenth"), item("/c", "AI guide", "manual"), item("/d", "AI plan", "policy_paper")],
     }
     for name, items in pages.items():
         (tmp_path / "in").mkdir(exist_ok=True)
