@@ -282,18 +282,20 @@ def type_reason(release: str, r: Column, awards: Column) -> Column:
     no_list = (awards.isNull() & blank_to_null(r["awards"]).isNotNull()) | (
         r["awards"].startswith("{") & (r["awards"] != "{}")
     )
-    shapes = F.from_json(r["awards"], _AWARD_SHAPES)
 
-    def wrong(part: str, sign: str) -> Column:
-        return F.exists(shapes, lambda a: F.coalesce(~a[part].startswith(sign), F.lit(False)))
+    def other(part: Column, sign: str) -> Column:
+        return ~part.startswith(sign)
 
-    return (
-        found.when(no_list, "awards is no list")
-        .when(wrong("value", "{"), "award value is no object")
-        .when(wrong("suppliers", "["), "award suppliers is no list")
-        .when(wrong("documents", "["), "award documents is no list")
-        .when(wrong("contractPeriod", "{"), "award contract period is no object")
+    # One look at each award, so that its text is parsed once for all four parts.
+    per_award = F.transform(
+        F.from_json(r["awards"], _AWARD_SHAPES),
+        lambda a: F.when(other(a["value"], "{"), "award value is no object")
+        .when(other(a["suppliers"], "["), "award suppliers is no list")
+        .when(other(a["documents"], "["), "award documents is no list")
+        .when(other(a["contractPeriod"], "{"), "award contract period is no object"),
     )
+    first = F.get(F.filter(per_award, lambda x: x.isNotNull()), F.lit(0))
+    return found.when(no_list, "awards is no list").otherwise(first)
 
 
 def zero_id(release: str, r: Column) -> Column:
