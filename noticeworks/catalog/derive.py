@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks.catalog import rules
+from noticeworks.schemas import exists
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -19,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Session setting that names a folder where made-up texts are kept; unset, they are made anew each time.
+KEEP = "noticeworks.fixtures"
+
+
+def _kept(spark: SparkSession, sf_dir: str, name: str, made: DataFrame) -> DataFrame:
+    """``made``, or what an earlier call wrote of it. For timing the library without its fixtures."""
+    root = spark.conf.get(KEEP, None)
+    if not root:
+        return made
+    path = f"{root}/{sf_dir.rstrip('/').rsplit('/', 1)[-1]}/{name}"
+    if not exists(spark, path):
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def _sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame:
     """Run a query over test tables, given as named arguments rather than session-wide views."""
     frames = {n: table(spark, sf_dir, n) for n in names}
@@ -212,14 +228,14 @@ def package_lines(df: DataFrame, extra: bool = False) -> DataFrame:
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(line, _ord, src)`` for every order, in order-key order."""
     lines = package_lines(release_json(orders(spark, sf_dir)))
-    return lines.select("line", F.col("k").alias("_ord"), "src")
+    return _kept(spark, sf_dir, "archive_lines", lines.select("line", F.col("k").alias("_ord"), "src"))
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(release, compiled_id, k, src)``: releases straight from the orders, without packages."""
     df = release_json(orders(spark, sf_dir))
     made_up = F.expr("CASE WHEN k % 8 IN (1, 7) THEN concat(ocid, '-compiled') END")
-    return df.select("release", made_up.alias("compiled_id"), "k", "src")
+    return _kept(spark, sf_dir, "releases", df.select("release", made_up.alias("compiled_id"), "k", "src"))
 
 
 def announcement_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +259,8 @@ def announcement_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ),
     )
-    return docs(spark, sf_dir).select(F.to_json(record).alias("item"), "d", "source", "dtype")
+    items = docs(spark, sf_dir).select(F.to_json(record).alias("item"), "d", "source", "dtype")
+    return _kept(spark, sf_dir, "announcement_items", items)
 
 
 def question_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,12 +285,13 @@ def question_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         answerText="'AI is mentioned in the answer only'",
     )
     text = F.to_json(record)
-    return turns(spark, sf_dir).select(
+    items = turns(spark, sf_dir).select(
         F.when(F.expr("turn % 2 = 0"), F.concat(F.lit('{"value":'), text, F.lit("}"))).otherwise(text).alias("item"),
         "qid",
         "conv_id",
         "turn",
     )
+    return _kept(spark, sf_dir, "question_items", items)
 
 
 def escape_html(text: str) -> Column:
@@ -311,7 +329,8 @@ def record_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             body=body,
         ),
     )
-    return docs(spark, sf_dir).select(F.to_json(record).alias("item"), "d", body.alias("body"))
+    items = docs(spark, sf_dir).select(F.to_json(record).alias("item"), "d", body.alias("body"))
+    return _kept(spark, sf_dir, "record_items", items)
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
