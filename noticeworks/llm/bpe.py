@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from noticeworks.llm.common import OWN, slices
+from noticeworks.llm.common import OWN, freed, slices
 
 #: Byte b is written as the character with code 256 + b: no white space, no sign special to the library.
 FIRST_CHAR = 256
 #: Parts remembered per worker, and the longest ones; when full, the memory starts anew. Bounds memory, not results.
-KEPT, LONG = 150_000, 60
+KEPT, LONG = 120_000, 60
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -105,50 +105,50 @@ class Coder:
         self.split = regex.compile(pattern).findall
         self.spaces = set(regex.findall(r"\s", "".join(map(chr, range(0xD800)))))
         self.merged: dict[str, bytes] = {}  # of a pre-token
-        self.known: dict[str, bytes | None] = {}  # of a part after a space; None: not to be cut out here
+        self.known: dict[str, bytes] = {}  # of a part after a space
 
     def pieces(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, pre-token by pre-token."""
-        ids, whole = self.merged, self.whole
+        whole = self.whole
         parts = [self.split(t) for t in texts]
-        new = list(set(chain.from_iterable(parts)).difference(ids))
-        if len(ids) + len(new) > KEPT:
-            ids.clear()
-            new = list(set(chain.from_iterable(parts)))
+        ids = self._recall(self.merged, set(chain.from_iterable(parts)))
+        new = [p for p, known in ids.items() if known is None]
         if new:
-            raw = [p.encode() for p in new]
-            ids.update((p, whole[r]) for p, r in zip(new, raw, strict=True) if r in whole)
-            rest = [(p, r) for p, r in zip(new, raw, strict=True) if r not in whole]
-            found = self.model.encode(as_chars([r for _, r in rest]), num_threads=1)
-            ids.update((p, array("I", f).tobytes()) for (p, _), f in zip(rest, found, strict=True))
-        out = [b"".join(map(ids.__getitem__, ps)) for ps in parts]
-        for p in new:
-            if len(p) > LONG:
-                del ids[p]
-        return out
+            rest, raw_rest = [], []
+            for p in new:
+                raw = p.encode()
+                if raw in whole:
+                    ids[p] = whole[raw]
+                else:
+                    rest.append(p)
+                    raw_rest.append(raw)
+            for p, found in zip(rest, self.model.encode(as_chars(raw_rest), num_threads=1), strict=True):
+                ids[p] = array("I", found).tobytes()
+            self.merged.update((p, ids[p]) for p in new if len(p) <= LONG)
+        return [b"".join(map(ids.__getitem__, ps)) for ps in parts]
+
+    @staticmethod
+    def _recall(memory: dict[str, bytes], wanted: set[str]) -> dict[str, bytes | None]:
+        """What is remembered of ``wanted``, None for the rest. A small table of its own is quicker to search."""
+        if len(memory) > KEPT:
+            memory.clear()
+        return {p: memory.get(p) for p in wanted}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
         parts = [t.split(" ") for t in texts]
-        seen = set().union(*(p[1:] for p in parts))
-        new = seen.difference(known)
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = seen
-        alone = {p for p in new if not p or p[0] in self.spaces or p[-1] in self.spaces}
-        known.update(dict.fromkeys(alone))
-        fit = list(new - alone)
-        known.update(zip(fit, self.pieces([" " + p for p in fit]), strict=True))
         heads = self.pieces([p[0] for p in parts])
+        known = self._recall(self.known, set().union(*(p[1:] for p in parts)))
+        # A part that is empty or has white space at an end is not cut out, but goes with its whole text.
+        fit = [p for p, ids in known.items() if ids is None and p and p[0] not in self.spaces and p[-1] not in self.spaces]
+        new = dict(zip(fit, self.pieces([" " + p for p in fit]), strict=True))
+        known.update(new)
+        self.known.update((p, ids) for p, ids in new.items() if len(p) <= LONG)
         out = []
         for text, head, ps in zip(texts, heads, parts, strict=True):
             got = list(map(known.__getitem__, ps[1:]))
             plain = None not in got and not (len(ps) > 1 and (not ps[0] or ps[0][-1] in self.spaces))
             out.append(head + b"".join(got) if plain else self.pieces([text])[0])
-        for p in new:
-            if len(p) > LONG:
-                del known[p]
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -169,7 +169,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, OWN + "text"):
                 k = part.schema.get_field_index(OWN + "text")
                 texts = [(t or b"").decode() for t in part.column(k).to_pylist()]
@@ -183,7 +183,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, OWN + "text"):
                 k = part.schema.get_field_index(OWN + "text")
                 yield _with(part, k, pa.array([c.decode(x or b"") for x in part.column(k).to_pylist()], pa.binary()), into)

@@ -79,6 +79,13 @@ def delete_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow no longer needs of one is given back before the next."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` whose byte column adds up to about ``limit`` bytes; one long value is a part."""
     lengths = [len(v) if v is not None else 0 for v in _buffers(batch.column(column))]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from noticeworks.llm.common import OWN, slices
+from noticeworks.llm.common import OWN, freed, slices
 from noticeworks.llm.tokens import Words, runs
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 12
@@ -192,7 +192,7 @@ def matches(df: DataFrame, items: DataFrame, id_: str = "doc_id", text: str = "t
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index(block)
-            for batch in batches:
+            for batch in freed(batches):
                 for part in slices(batch, OWN + "text"):
                     ids, texts = (c.to_pylist() for c in part.columns)
                     found = [(ids[t], *rest) for t, *rest in index.search([x or b"" for x in texts])]
@@ -214,7 +214,7 @@ def without_matches(df: DataFrame, items: DataFrame, text: str = "text") -> Data
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index(block)
-            for batch in batches:
+            for batch in freed(batches):
                 for part in slices(batch, text):
                     texts = [x or b"" for x in part.column(k).to_pylist()]
                     keep = np.ones(len(texts), bool)

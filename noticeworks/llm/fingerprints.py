@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import OWN, slices
+from noticeworks.llm.common import OWN, freed, slices
 from noticeworks.llm.tokens import Words, mix
 
 SAMPLES = 128
@@ -130,7 +130,7 @@ def with_fingerprints(df: DataFrame, id_: str = "doc_id", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row whose successor has not come yet
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, "text"):
                 texts = [t or "" for t in part.column(2).to_pylist()]
                 ids, guests = part.column(1).to_pylist(), part.column(3).to_pylist()

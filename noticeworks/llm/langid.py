@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from noticeworks.llm.common import OWN, may_learn, slices
+from noticeworks.llm.common import OWN, freed, may_learn, slices
 from noticeworks.llm.tokens import mix
 
 #: Rows to learn from, at most about; buckets of hashed n-grams.
@@ -156,7 +156,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, OWN + "text"):
                 x = vectors(part.column(1).to_pylist()).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
@@ -177,7 +177,7 @@ def with_language(df: DataFrame, model: Model | None, text: str = "text", keep_t
     rows = df.select(*names, F.when(has, F.col(text).cast("binary")).alias(OWN + "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, OWN + "text", 1 << 20):
                 texts = part.column(len(names)).to_pylist()
                 own = [i for i, t in enumerate(texts) if t is not None] if model else []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import OWN, delete_written, slices, written
+from noticeworks.llm.common import OWN, delete_written, freed, slices, written
 from noticeworks.llm.tokens import Words, mix, runs
 
 #: Fewest words of a block that is deleted, and how many words on each side a cut looks at.
@@ -113,7 +113,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(id, th, line, u, n) of every line; th tells texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, "text"):
                 texts = [t or b"" for t in part.column(2).to_pylist()]
                 _, first, end, hashes, of = lines_of(texts)
@@ -158,7 +158,7 @@ def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK) ->
 
 def _aligned(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             blocks = [blocks_of([(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()], least) for s in batch.column(2)]
             spans = pa.array([[{"a": a, "b": b} for a, b in x] for x in blocks], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["id", "th", "spans"])
@@ -218,7 +218,7 @@ def dedup_lines(df: DataFrame, id_: str = "doc_id", text: str = "text", removed:
     k = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             texts, gone = batch.column(k).to_pylist(), []
             for i, s in enumerate(batch.column(len(names)).to_pylist()):
                 n = 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, StructType
 
-from noticeworks.llm.common import OWN, slices
+from noticeworks.llm.common import OWN, freed, slices
 
 #: Kinds in the order of the spans; the first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
@@ -424,7 +424,7 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", base: str = "b
         return pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in x] for x in found], span)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             for part in slices(batch, OWN + "text"):
                 found = all_spans([t or "" for t in part.column(len(rest)).to_pylist()], field)
                 yield pa.RecordBatch.from_arrays(

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from noticeworks.llm.common import OWN, delete_written, written
+from noticeworks.llm.common import OWN, delete_written, freed, written
 from noticeworks.llm.components import components
 
 BITS, SEED = 64, 42
@@ -61,7 +61,7 @@ def with_fingerprints(df: DataFrame, text: str = "text", name: str = "fp", words
     schema = StructType([*(df.schema[c] for c in rest), StructField(name, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             values = [fingerprint(t.as_py(), words) for t in batch.column(len(rest))]
             column = pa.array(np.array(values, np.uint64).astype(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], column], [*rest, name])
@@ -133,7 +133,7 @@ def _linked(groups: DataFrame, radius: int) -> DataFrame:
     """Links (a, b) within each row's list ``fps``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             a, b = [], []
             for fps in batch.column(0):
                 values = fps.values.to_numpy(zero_copy_only=False).astype(np.int64)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from noticeworks.llm.common import may_learn
+from noticeworks.llm.common import freed, may_learn
 
 #: Labelled rows to learn from, at most about; learnt stems, at most; least share of toxic rows that have a stem.
 SAMPLE, STEMS, SHARE = 8000, 300, 0.02
@@ -194,7 +194,7 @@ def _counted(rows: DataFrame) -> DataFrame:
     """(stem, toxic rows, other rows) summed per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             counts = Counter(), Counter()
             for toxic, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts[bool(toxic)].update(_beginnings(text or ""))
@@ -257,7 +257,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(scorer_of)
-        for batch in batches:
+        for batch in freed(batches):
             x = [scorer.features(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
@@ -278,7 +278,7 @@ def with_scores(df: DataFrame, model: Model, text: str = "text", score: str = "s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in freed(batches):
             scores = pa.array([scorer.score(t.as_py() or "") for t in batch.column(k)], pa.float64())
             columns = [c for n, c in zip(names, batch.columns, strict=True) if n in rest]
             yield pa.RecordBatch.from_arrays([*columns, scores], [*rest, score])

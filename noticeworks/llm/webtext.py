@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import OWN, written
+from noticeworks.llm.common import OWN, freed, written
 
 # Kinds of elements and words in class names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -240,7 +240,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the path with the most votes of each host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             sums: dict[tuple[str, str], float] = {}
             for host, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for path, v in Page(source).votes().items():
@@ -265,7 +265,7 @@ def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), tex
     rows = rows.join(winners, F.col(OWN + "of") == F.col(OWN + "host"), "left").select(*keep, OWN + "path", OWN + "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             *_, paths, sources = batch.columns
             texts = [Page(s).main_text(p) if s else "" for p, s in zip(paths.to_pylist(), sources.to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, text])
