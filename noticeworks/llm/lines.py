@@ -174,7 +174,7 @@ def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
     """
     lines = written(_lines(docs), "lines")
     holder = lines.groupBy("u").agg(F.min("id").alias("hid"), F.count("*").alias("times"))
-    holder = holder.filter("times > 1 AND hid IS NOT NULL").drop("times").hint("merge")  # grows with the lines
+    holder = holder.filter("times > 1 AND hid IS NOT NULL").drop("times").hint("shuffle_hash")  # a row a line: even
     shared = written(lines.join(holder, "u"), "shared-lines")
     delete_written(lines)
     held = shared.filter("id = hid").groupBy("u").agg(F.min("th").alias("hth"))
@@ -211,7 +211,7 @@ def dedup_lines(df: DataFrame, id_: str = "doc_id", text: str = "text", removed:
     th = F.xxhash64(text)
     docs = df.select(F.col(id_).alias("id"), th.alias("th"), F.col(text).cast("binary").alias("text"))
     spans = written(common_blocks(docs, least), "blocks").select(F.col("id").alias(OWN + "id"), F.col("th").alias(OWN + "th"), "spans")
-    spans = spans.withColumnRenamed("spans", OWN + "spans").hint("merge")  # grows with the documents
+    spans = spans.withColumnRenamed("spans", OWN + "spans").hint("shuffle_hash")  # a row a document: even
     rows = df.select(*(F.col(c).cast("binary").alias(c) if c == text else c for c in names), th.alias(OWN + "own"))
     joined = rows.join(spans, F.col(id_).eqNullSafe(F.col(OWN + "id")) & (F.col(OWN + "own") == F.col(OWN + "th")), "left")
     joined = joined.select(*names, OWN + "spans")
