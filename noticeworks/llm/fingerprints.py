@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 from noticeworks.llm.common import OWN, freed, slices
 from noticeworks.llm.tokens import Words, mix
 
-SAMPLES = 128
+SAMPLES = 96
 #: Rows of a table of words by samples that are worked on at once.
 ROWS = 2048
 #: Rows of one range of neighbours, about, and most ranges.
 RANGE_ROWS, RANGES = 4000, 8192
 
-_SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, 1, SAMPLES)
+_SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None]
 
 
 def _uniform(h: np.ndarray, shift: int, bits: int) -> np.ndarray:
@@ -42,7 +42,9 @@ def _uniform(h: np.ndarray, shift: int, bits: int) -> np.ndarray:
 
 def logs(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """ln a of every sample (columns) for words (hashes) of the given counts (rows)."""
-    x, y = (mix(words[:, None] ^ s) for s in _SEEDS)
+    x = mix(words[:, None] ^ _SEEDS)
+    y = x * np.uint64(0xD6E8FEB86659FD93)
+    y ^= y >> np.uint64(32)
     r = -np.log(_uniform(x, 0, 32) * _uniform(x, 32, 32))  # Gamma(2, 1) is a sum of two exponentials
     c = -np.log(_uniform(y, 0, 21) * _uniform(y, 21, 21))
     b = _uniform(y, 42, 22)
