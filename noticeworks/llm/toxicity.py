@@ -10,7 +10,8 @@ Insults are a fixed list and stems learnt from labelled documents: beginnings of
 mark the toxic ones. The learnt part uses at most about ``SAMPLE`` labelled rows, chosen by a hash of the id, and
 never more than their texts and labels. Without labels the fixed list and the prior weights stand alone.
 
-Defined results: null and empty texts get the score of a text without matches; a null label teaches nothing; rows
+Defined results: null and empty texts get the score of a text without matches; a null label teaches nothing, and of
+contrary labels of one id the toxic one counts; rows
 of one id are scored one by one; extra columns pass through ``with_scores``.
 """
 
@@ -244,7 +245,7 @@ def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 0.05,
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of the labelled documents that may be learnt from."""
-    known = labels.filter(may_learn() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.filter(may_learn() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = known.count()
     if not total:
         return Model()
