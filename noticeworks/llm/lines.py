@@ -7,6 +7,11 @@ A document is paired with every holder of enough of its words: one pair for each
 many documents share the line. A pair whose lines add up to less than a block is left out, so it is the rare
 lines that make pairs; no count of documents or holders is limited.
 
+Shared lines of a document may have several holders though another document has them all in a row. So every shortest run of
+neighbouring shared lines that makes a block, from its first line on or back from its last, is looked up as well, by the hash of
+its lines: the first document that has it has it whole. Such runs cover all blocks of whole lines that an earlier document
+has, whatever lines are repeated in them and whoever holds each line.
+
 In a pair, the shared lines that occur once in both are aligned by patience (longest increasing run of positions)
 and grown into blocks of neighbours; what is left is aligned again until no block is found. Blocks of
 ``BLOCK`` words and more are deleted from the later document, with neighbouring lines that other holders have.
@@ -20,7 +25,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +114,59 @@ def align(shared: list[tuple[int, int, int]], least: int = BLOCK) -> list[tuple[
     return sorted(blocks)
 
 
+def least_runs(stretch: np.ndarray, n: np.ndarray, least: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Where the shortest runs of ``least`` words begin and end (exclusive), in lines of ``n`` words that neighbour within a stretch."""
+    total = np.concatenate(([0], np.cumsum(n)))
+    every = np.arange(len(n))
+    ends = np.searchsorted(total, total[:-1] + least)  # from each line on
+    starts = np.searchsorted(total, total[1:] - least, "right") - 1  # back from each line
+    a, b = np.concatenate((every, starts)), np.concatenate((ends, every + 1))
+    inside = (a >= 0) & (b <= len(n))
+    a, b = a[inside], b[inside]
+    inside = stretch[a] == stretch[b - 1]
+    both = np.unique(np.stack((a[inside], b[inside])), axis=1)
+    return both[0], both[1]
+
+
+def _runs(shared: DataFrame, least: int) -> DataFrame:
+    """(id, th, a, b, w) of the shortest runs of shared lines that make a block; w is the hash of their lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in freed(batches):
+            items = batch.column(2).flatten()
+            doc = np.repeat(np.arange(len(batch)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            line, u, n = (items.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            order = np.lexsort((line, doc))
+            doc, line, u, n = doc[order], line[order].astype(np.int64), u[order].view(np.uint64), n[order].astype(np.int64)
+            new = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1] + 1)
+            a, b = least_runs(np.concatenate(([0], np.cumsum(new))), n, least)
+            of = pa.array(doc[a])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(of),
+                    batch.column(1).take(of),
+                    pa.array(line[a].astype(np.int32)),
+                    pa.array((line[b - 1] + 1).astype(np.int32)),
+                    pa.array(runs(u, a, b).view(np.int64)),
+                ],
+                ["id", "th", "a", "b", "w"],
+            )
+
+    rows = shared.groupBy("id", "th").agg(F.collect_set(F.struct("line", "u", "n")).alias("lines"), F.sum("n").alias("words"))
+    rows = rows.filter(F.col("words") >= least).select("id", "th", "lines")
+    kind = shared.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, th long, a int, b int, w long")
+
+
+def _runs_of_earlier(shared: DataFrame, least: int) -> DataFrame:
+    """(rid, rth, runs) of the texts with runs that a document of lesser id has as well."""
+    every = written(_runs(shared, least), "runs")
+    first = every.groupBy("w").agg(F.min("id").alias("wid"), F.count("*").alias("times"))
+    first = first.filter("times > 1 AND wid IS NOT NULL").drop("times").hint("shuffle_hash")  # a row a run: even
+    later = every.join(first, "w").filter("id IS NULL OR id > wid")
+    return later.groupBy(F.col("id").alias("rid"), F.col("th").alias("rth")).agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, th, line, u, n) of every line; th tells texts of one id apart."""
 
@@ -135,8 +193,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, th long, line int, u long, n int")
 
 
-def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK) -> list[tuple[int, int]]:
-    """Blocks of a document from its lines (place, holder, place in the holder, words).
+def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK, further: Iterable[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+    """Blocks of a document from its lines (place, holder, place in the holder, words) and ``further`` blocks.
 
     Each holder is aligned by itself; a block then takes in the neighbouring lines that other holders have.
     """
@@ -146,7 +204,9 @@ def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK) ->
     found = [b for pair in pairs.values() if sum(n for *_, n in pair) >= least for b in align(pair, least)]
     places = {place for place, *_ in shared}
     out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
+    for a, b in sorted([*found, *further]):
+        if out and b <= out[-1][1]:
+            continue
         while a - 1 in places:
             a -= 1
         while b in places:
@@ -159,12 +219,15 @@ def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK) ->
 def _aligned(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in freed(batches):
-            blocks = [blocks_of([(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()], least) for s in batch.column(2)]
+            blocks = []
+            for s, r in zip(batch.column(2), batch.column(3), strict=True):
+                lines = [(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()]
+                blocks.append(blocks_of(lines, least, [(x["a"], x["b"]) for x in r.as_py() or ()]))
             spans = pa.array([[{"a": a, "b": b} for a, b in x] for x in blocks], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["id", "th", "spans"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "th", "shared").mapInArrow(run, f"id {kind}, th long, spans array<struct<a:int,b:int>>")
+    return docs.select("id", "th", "shared", "runs").mapInArrow(run, f"id {kind}, th long, spans array<struct<a:int,b:int>>")
 
 
 def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
@@ -183,7 +246,9 @@ def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
     later = shared.filter("id IS NULL OR id > hid").join(held, "u")
     item = F.struct("line", "hid", "hth", "held", "n")
     docs = later.groupBy("id", "th").agg(F.collect_set(item).alias("shared"), F.sum("n").alias("words"))
-    return _aligned(docs.filter(F.col("words") >= least), least).filter(F.size("spans") > 0)
+    further = _runs_of_earlier(shared, least).hint("shuffle_hash")  # a row a document: even
+    docs = docs.filter(F.col("words") >= least).join(further, F.expr("id <=> rid AND th = rth"), "left")
+    return _aligned(docs, least).filter(F.size("spans") > 0)
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:

@@ -169,6 +169,30 @@ def test_common_short_lines_stay(spark):
     assert out.filter("words_removed > 0").count() == 0
 
 
+def test_a_block_whose_lines_were_first_seen_apart(spark):
+    """Each line has another first holder; the third document has the block of the second whole."""
+    rng = random.Random(24)
+    parts = [" ".join(words(rng, 18)) for _ in range(3)]
+    rows = [(i, f"{' '.join(words(rng, 30))}\n{p}\n{' '.join(words(rng, 30))}") for i, p in enumerate(parts)]
+    block = "\n".join(parts)
+    rows += [(i, f"{' '.join(words(rng, 30))}\n{block}\n{' '.join(words(rng, 30))}") for i in (10, 11)]
+    out = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i]["words_removed"] for i in (0, 1, 2, 10)] == [0] * 4
+    assert out[11]["words_removed"] >= 54 and not longest_common({i: r["text"] for i, r in out.items()}, 20)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_least_runs_cover_every_block(seed):
+    rng = random.Random(seed)
+    n = np.array([rng.randint(1, 24) for _ in range(12)])
+    runs_ = [(int(a), int(b)) for a, b in zip(*lines.least_runs(np.zeros(12, int), n), strict=True)]
+    assert all(n[a:b].sum() >= lines.BLOCK for a, b in runs_)
+    for a, b in combinations(range(13), 2):
+        if n[a:b].sum() >= lines.BLOCK:
+            inside = [set(range(x, y)) for x, y in runs_ if a <= x and y <= b]
+            assert set().union(*inside) == set(range(a, b))
+
+
 def test_lines_of_odd_rows(spark):
     block = " ".join(words(random.Random(7), 40))
     df = odd_documents(spark, ("words_removed", "spans", "id"))
