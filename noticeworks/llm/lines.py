@@ -1,7 +1,7 @@
 """Line dedup by pairwise alignment: shared rare lines pair documents, patience diff aligns each pair.
 
 A line is a physical line; inside long ones, a line also ends where the words themselves say so (before a
-word whose hash is the least among its neighbours), so that a passage glued into other text is cut alike
+word whose hash is the least among its neighbours, and every few words where the same words repeat), so that a passage glued into other text is cut alike
 in every document. Each line of several documents has a holder, the document of least id that has it.
 A document is paired with every holder of enough of its words: one pair for each document and holder, however
 many documents share the line. A pair whose lines add up to less than a block is left out, so it is the rare
@@ -55,7 +55,31 @@ def cut(words: Words, hashes: np.ndarray) -> np.ndarray:
         least[:d] = False
         least[:-d] &= inside & (key[:-d] <= key[d:])
         least[-d:] = False
-    return np.flatnonzero(begins | least)
+    return np.flatnonzero(begins | least | _repeated(key, line))
+
+
+def _repeated(key: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Further cuts where words repeat every 1 to ``REACH`` words, so that no key is less than all near it.
+
+    Keys that are least, with equals, and follow an equal one at the same distance are counted from the first on, and
+    of distance d every (8 / d)th begins a line.
+    """
+    low = np.ones(len(key), bool)
+    for d in range(1, REACH + 1):
+        inside = line[d:] == line[:-d]
+        low[d:] &= ~inside | (key[d:] <= key[:-d])
+        low[:-d] &= ~inside | (key[:-d] <= key[d:])
+    at = np.flatnonzero(low)
+    out = np.zeros(len(key), bool)
+    if len(at) < 2:
+        return out
+    gap = np.diff(at, prepend=at[0] - REACH - 1)
+    equal = np.concatenate(([False], key[at][1:] == key[at][:-1])) & (gap <= REACH) & np.concatenate(([False], line[at][1:] == line[at][:-1]))
+    goes_on = equal & np.concatenate(([False], (gap[1:] == gap[:-1]) | ~equal[:-1]))
+    starts = np.flatnonzero(~goes_on)
+    number = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
+    out[at[goes_on & (number % (2 * REACH // np.clip(gap, 1, REACH)) == 0)]] = True
+    return out
 
 
 def lines_of(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

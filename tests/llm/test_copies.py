@@ -181,6 +181,20 @@ def test_a_block_whose_lines_were_first_seen_apart(spark):
     assert out[11]["words_removed"] >= 54 and not longest_common({i: r["text"] for i, r in out.items()}, 20)
 
 
+@pytest.mark.parametrize("unit", ["twelve", "of", "of the", "a b c", "p q r s", "one two three four five six seven"])
+def test_blocks_with_repeated_words_go(spark, unit):
+    """A line four times in a row, and runs of few words that repeat."""
+    rng = random.Random(25)
+    passage = "\n".join([" ".join(words(rng, 12))] * 4) if unit == "twelve" else " ".join((unit.split() * 70)[:70])
+    glue = "\n" if unit == "twelve" else " "
+    rows = [(i, " ".join(words(rng, 40 + i)) + glue + passage + glue + " ".join(words(rng, 40))) for i in range(3)]
+    out = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0]["words_removed"] == 0
+    assert not longest_common({i: r["text"] for i, r in out.items()}, 40)
+    for i in (1, 2):
+        assert set(rows[i][1].split()) - set(out[i]["text"].split()) <= set(passage.split())
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_least_runs_cover_every_block(seed):
     rng = random.Random(seed)
