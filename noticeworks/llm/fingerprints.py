@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from noticeworks.llm.common import OWN, freed, slices
 from noticeworks.llm.tokens import Words, mix
 
-SAMPLES = 96
+SAMPLES = 128
 #: Rows of a table of words by samples that are worked on at once.
 ROWS = 2048
 #: Rows of one range of neighbours, about, and most ranges.

@@ -336,6 +336,10 @@ def test_every_row_meets_its_successor(spark, monkeypatch, size):
     assert sorted(got) == sorted(plain_edits(sorted(rows)))
 
 
+def test_fingerprints_have_128_samples():
+    assert fingerprints.signatures([b"one two", b""]).shape == (2, 128)
+
+
 def test_fingerprints_of_odd_rows(spark):
     out = fingerprints.with_fingerprints(odd_documents(spark, ("fingerprint", "range", "id"))).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in ODD)
