@@ -16,6 +16,7 @@ page's end is dropped; pages of one id are read one by one.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -52,8 +53,8 @@ GOOD = set("article content post entry story body text main".split())
 ROLES = set("navigation banner contentinfo complementary search form menu dialog alert".split())
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-#: Elements nested deeper count as part of the element at this depth.
-DEPTH = 100
+#: A longer path stands as its digest in the paths below it, so that deep nesting does not make long keys.
+PATH_CHARS = 2000
 
 
 class Page:
@@ -66,15 +67,15 @@ class Page:
 
     def _read(self, source: str) -> None:
         low, n, at = source.lower(), len(source), 0
-        stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, dropped
-        count: dict[str, int] = {}
+        stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]  # tag, container, dropped, nearest element that is not inline
+        where: dict[str, list[int]] = {}  # places in the stack, by tag
         links = 0
 
         def close(size: int) -> None:
             nonlocal links
             while len(stack) > size:
-                tag, inside, _ = stack.pop()
-                count[tag] -= 1
+                tag, inside, *_ = stack.pop()
+                where[tag].pop()
                 links -= tag == "a"
                 if tag not in INLINE:
                     self.pieces.append((inside, None, False))
@@ -107,11 +108,8 @@ class Page:
                 break
             tag, at = name[0].lower(), end + 1
             if ending:
-                if count.get(tag):
-                    size = len(stack) - 1
-                    while stack[size][0] != tag:
-                        size -= 1
-                    close(size)
+                if where.get(tag):
+                    close(where[tag][-1])
                 elif tag == "p":
                     self.pieces.append((stack[-1][1], None, False))
                 continue
@@ -127,45 +125,42 @@ class Page:
                     at = n if end < 0 else end + 1
                 continue
             if tag not in INLINE:
-                self._end_implied(tag, stack, count, close)
-            if len(stack) > DEPTH or source[end - 1] == "/":
+                self._end_implied(tag, stack, where, close)
+            if source[end - 1] == "/":
                 if tag not in INLINE:
                     self.pieces.append((stack[-1][1], None, False))
                 continue
             inside, dropped = stack[-1][1], stack[-1][2]
             words, role = _marks(source[name.end() : end]) if end > name.end() else ((), "")
             if not dropped and tag != "body" and tag != "html":
-                in_article = count.get("article") or count.get("main")
+                in_article = where.get("article") or where.get("main")
                 dropped = tag in DROPPED or role in ROLES or role == "-hidden" or tag == "header" and not in_article
                 dropped = dropped or tag not in ("article", "main") and any(w in JUNK for w in words)
             if tag in CONTAINERS and not dropped:
                 label = tag + "".join("." + w for w in words)
-                self.paths.append(f"{self.paths[inside]}/{label}" if inside else label)
+                above = self.paths[inside]
+                if len(above) > PATH_CHARS:
+                    above = "~" + hashlib.sha256(above.encode("utf-8", "surrogatepass")).hexdigest()
+                self.paths.append(f"{above}/{label}" if inside else label)
                 self.parents.append(inside)
                 self.bonus.append({"article": 1.5, "main": 1.3}.get(tag, 1.3 if role == "main" else 1.2 if any(w in GOOD for w in words) else 1.0))
                 inside = len(self.paths) - 1
             if tag not in INLINE:
                 self.pieces.append((inside, None, False))
-            stack.append((tag, inside, dropped))
-            count[tag] = count.get(tag, 0) + 1
+            where.setdefault(tag, []).append(len(stack))
+            stack.append((tag, inside, dropped, stack[-1][3] if tag in INLINE else len(stack)))
             links += tag == "a"
 
     @staticmethod
-    def _end_implied(tag: str, stack: list, count: dict, close) -> None:
-        if count.get("p") and tag not in ("html", "body"):
-            size = len(stack) - 1
-            while stack[size][0] != "p" and stack[size][0] in INLINE:
-                size -= 1
+    def _end_implied(tag: str, stack: list, where: dict, close) -> None:
+        if where.get("p") and tag not in ("html", "body"):
+            size = stack[-1][3]
             if stack[size][0] == "p":
                 close(size)
-        if tag in ENDS and any(count.get(t) for t in ENDS[tag][0]):
-            ends, barriers = ENDS[tag]
-            for size in range(len(stack) - 1, 0, -1):
-                if stack[size][0] in barriers:
-                    break
-                if stack[size][0] in ends:
-                    close(size)
-                    break
+        if tag in ENDS:
+            ends, barriers = (max((where[t][-1] for t in kinds if where.get(t)), default=0) for kinds in ENDS[tag])
+            if ends > barriers:
+                close(ends)
 
     def votes(self) -> dict[str, float]:
         """Share of the page's text, by container path."""

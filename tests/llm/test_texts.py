@@ -276,6 +276,20 @@ def test_hosts_agree_on_a_path(spark):
     assert webtext.main_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("opened", ["<b>", "<font>", "<div>", "<span><div>"])
+def test_deeply_nested_pages(opened):
+    """What stands below 150 open elements is closed and dropped as anywhere else."""
+    story, more = "The story goes on for many words. " * 20, "And so it goes on further. " * 20
+    page = f"<body><div class=article>{opened * 150}{story}<div>inner</div>{more}<footer>Imprint</footer><nav>Home</nav></div></body>"
+    assert webtext.Page(page).text("body/div.article") == " ".join(f"{story} inner {more}".split())
+
+
+def test_deep_nesting_takes_little_room():
+    page = webtext.Page("<div class=wrapper>" * 20_000 + "end")
+    assert len(page.paths) == 20_001 and len(set(page.paths)) == 20_001
+    assert max(map(len, page.paths)) < 2 * webtext.PATH_CHARS and page.text(None) == "end"
+
+
 def test_page_query(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = QUERIES["op6_web_text"](spark, SF).collect()
