@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -31,8 +31,9 @@ from noticeworks.llm.common import OWN, freed, slices
 
 #: Byte b is written as the character with code 256 + b: no white space, no sign special to the library.
 FIRST_CHAR = 256
-#: Parts remembered per worker, and the longest ones; when full, the memory starts anew. Bounds memory, not results.
-KEPT, LONG = 120_000, 60
+#: Bytes of remembered parts per memory, with what a table entry of two objects takes, and the longest parts; when full, a
+#: memory starts anew. Bounds memory, not results.
+KEPT_BYTES, ENTRY, LONG = 16 << 20, 200, 60
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -91,6 +92,27 @@ def _piece(text: str, score: float, kind: int) -> bytes:
     return _field(1, text.encode()) + _varint(2 << 3 | 5) + struct.pack("<f", score) + _number(3, kind)
 
 
+class Memory:
+    """Ids of short parts that were met before, in a bounded number of bytes."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, bytes] = {}
+        self.size = 0
+
+    def recall(self, wanted: set[str]) -> dict[str, bytes | None]:
+        """What is remembered of ``wanted``, None for the rest. A small table of its own is quicker to search."""
+        if self.size > KEPT_BYTES:
+            self.ids.clear()
+            self.size = 0
+        return {p: self.ids.get(p) for p in wanted}
+
+    def add(self, found: Iterable[tuple[str, bytes]]) -> None:
+        for p, ids in found:
+            if len(p) <= LONG:
+                self.ids[p] = ids
+                self.size += ENTRY + 2 * len(p) + len(ids)
+
+
 class Coder:
     """Encodes and decodes in one Python process.
 
@@ -104,14 +126,14 @@ class Coder:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
         self.split = regex.compile(pattern).findall
         self.spaces = set(regex.findall(r"\s", "".join(map(chr, range(0xD800)))))
-        self.merged: dict[str, bytes] = {}  # of a pre-token
-        self.known: dict[str, bytes] = {}  # of a part after a space
+        self.merged = Memory()  # of a pre-token
+        self.known = Memory()  # of a part after a space
 
     def pieces(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, pre-token by pre-token."""
         whole = self.whole
         parts = [self.split(t) for t in texts]
-        ids = self._recall(self.merged, set(chain.from_iterable(parts)))
+        ids = self.merged.recall(set(chain.from_iterable(parts)))
         new = [p for p, known in ids.items() if known is None]
         if new:
             rest, raw_rest = [], []
@@ -124,26 +146,19 @@ class Coder:
                     raw_rest.append(raw)
             for p, found in zip(rest, self.model.encode(as_chars(raw_rest), num_threads=1), strict=True):
                 ids[p] = array("I", found).tobytes()
-            self.merged.update((p, ids[p]) for p in new if len(p) <= LONG)
+            self.merged.add((p, ids[p]) for p in new)
         return [b"".join(map(ids.__getitem__, ps)) for ps in parts]
 
-    @staticmethod
-    def _recall(memory: dict[str, bytes], wanted: set[str]) -> dict[str, bytes | None]:
-        """What is remembered of ``wanted``, None for the rest. A small table of its own is quicker to search."""
-        if len(memory) > KEPT:
-            memory.clear()
-        return {p: memory.get(p) for p in wanted}
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [t.split(" ") for t in texts]
         heads = self.pieces([p[0] for p in parts])
-        known = self._recall(self.known, set().union(*(p[1:] for p in parts)))
+        known = self.known.recall(set().union(*(p[1:] for p in parts)))
         # A part that is empty or has white space at an end is not cut out, but goes with its whole text.
         fit = [p for p, ids in known.items() if ids is None and p and p[0] not in self.spaces and p[-1] not in self.spaces]
         new = dict(zip(fit, self.pieces([" " + p for p in fit]), strict=True))
         known.update(new)
-        self.known.update((p, ids) for p, ids in new.items() if len(p) <= LONG)
+        self.known.add(new.items())
         out = []
         for text, head, ps in zip(texts, heads, parts, strict=True):
             got = list(map(known.__getitem__, ps[1:]))
@@ -166,37 +181,41 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     ``path`` is the rank file's place on every machine. A column of the name ``ids`` is replaced.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path, pattern)
-        for batch in freed(batches):
-            for part in slices(batch, OWN + "text"):
-                k = part.schema.get_field_index(OWN + "text")
-                texts = [(t or b"").decode() for t in part.column(k).to_pylist()]
-                yield _with(part, k, pa.array(c.encode(texts), pa.binary()), ids)
-
-    return _mapped(df, text, ids, run)
+    return _mapped(df, text, path, pattern, {ids: lambda c, texts: c.encode(_texts(texts))})
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` without ``ids`` and with ``into``: the bytes the ids stand for. Inverse of ``encode``."""
+    return _mapped(df, ids, path, pattern, {into: _decoded})
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``df`` without ``text`` and with ``ids`` and what these ids decode to, in one pass of one worker a task."""
+    return _mapped(df, text, path, pattern, {ids: lambda c, texts: c.encode(_texts(texts)), into: _decoded})
+
+
+def _texts(values: list[bytes | None]) -> list[str]:
+    return [(t or b"").decode() for t in values]
+
+
+def _decoded(coder_: Coder, ids: list[bytes | None]) -> list[bytes]:
+    return [coder_.decode(x or b"") for x in ids]
+
+
+def _mapped(df: DataFrame, old: str, path: str, pattern: str, steps: dict) -> DataFrame:
+    """``df`` without ``old`` and with a binary column for each step, which takes what the step before it gave."""
+    rest = [c for c in df.columns if c != old and c not in steps]
+    schema = StructType([*(df.schema[c] for c in rest), *(StructField(name, BinaryType()) for name in steps)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
         for batch in freed(batches):
             for part in slices(batch, OWN + "text"):
-                k = part.schema.get_field_index(OWN + "text")
-                yield _with(part, k, pa.array([c.decode(x or b"") for x in part.column(k).to_pylist()], pa.binary()), into)
-
-    return _mapped(df, ids, into, run)
+                *columns, values = part.columns
+                values = values.to_pylist()
+                for step in steps.values():
+                    values = step(c, values)
+                    columns.append(pa.array(values, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-
-def _mapped(df: DataFrame, old: str, new: str, run) -> DataFrame:
-    rest = [c for c in df.columns if c not in (old, new)]
-    schema = StructType([*(df.schema[c] for c in rest), StructField(new, BinaryType())])
     return df.select(*rest, F.col(old).cast("binary").alias(OWN + "text")).mapInArrow(run, schema)
-
-
-def _with(part: pa.RecordBatch, k: int, values: pa.Array, name: str) -> pa.RecordBatch:
-    names = [n for i, n in enumerate(part.schema.names) if i != k]
-    return pa.RecordBatch.from_arrays([*(part.column(i) for i in range(part.num_columns) if i != k), values], [*names, name])

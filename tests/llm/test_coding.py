@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from noticeworks.llm import bpe, sharding
 from noticeworks.llm.queries import PATTERN, QUERIES, RANKS
@@ -44,7 +46,7 @@ def test_runs_and_blanks(reference, text):
 
 
 def test_full_memory_changes_nothing(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT", 3)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 700)
     coder = bpe.Coder(tuple(bpe.read_ranks(RANKS)), PATTERN)
     texts = ["one two three four", "two three " + "long" * 40, "one two"] * 2
     assert [coder.encode([t])[0] for t in texts] == [ids_of(reference, t) for t in texts]
@@ -68,7 +70,18 @@ def test_query_counts(spark, reference):
     texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     rows = QUERIES["op10_byte_bpe"](spark, SF).collect()
     assert len(rows) == len(texts)
-    assert all(r["n_tokens"] == len(reference.encode_ordinary(texts[r["doc_id"]])) for r in rows)
+    for r in rows:
+        raw, text = ids_of(reference, texts[r["doc_id"]]), texts[r["doc_id"]].encode()
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(raw) // 4, sha256(raw).hexdigest(), sha256(text).hexdigest())
+
+
+def test_one_pass_gives_what_two_passes_give(spark):
+    docs = odd_documents(spark, ("ids", "decoded"))
+    one = bpe.round_trip(docs, RANKS, PATTERN)
+    two = bpe.decode(bpe.encode(docs, RANKS, PATTERN).withColumn("again", F.col("ids")), RANKS, PATTERN, ids="again")
+    assert sorted(one.columns) == sorted(two.columns)
+    assert Counter(one.select(sorted(one.columns)).collect()) == Counter(two.select(sorted(one.columns)).collect())
+    assert bpe.round_trip(no_documents(spark), RANKS, PATTERN).count() == 0
 
 
 def test_matrix_has_its_margins():
