@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, decontaminate, fingerprints, langid, lines, pii, sharding, simhash, toxicity, webtext
+from noticeworks.llm import bpe, decontaminate, exact, fingerprints, langid, lines, pii, sharding, simhash, spelling, toxicity, webtext, whitening
 from noticeworks.llm.common import held_out, ship, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,30 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.dedup_exact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+ORACLE["op12_exact_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+), h AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+SELECT d.doc_id, h.keep_id, h.group_size, d.doc_id = h.keep_id AS kept, d.text_sha256
+FROM d JOIN h ON h.text_sha256 = d.text_sha256"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

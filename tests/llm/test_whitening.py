@@ -1,0 +1,121 @@
+"""Whitening by incremental eigendecomposition."""
+
+from __future__ import annotations
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from noticeworks.llm import whitening
+from noticeworks.llm.queries import QUERIES
+from tests.llm.helpers import SF
+
+VECS = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows: list[tuple]) -> tuple[dict, np.ndarray, np.ndarray]:
+    """What numpy's own eigendecomposition gives: rows by id, eigenvalues, components."""
+    used = [(i, [int(np.floor(256 * float(c))) for c in v]) for i, v in rows]
+    fit = np.array(sorted({tuple(x) for _, x in used}))
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, parts = np.linalg.eigh(centred.T @ centred / n)
+    values, parts = values[::-1], parts[:, ::-1]
+    out = {}
+    for i, x in used:
+        exact = sum((n * a - int(s)) ** 2 for a, s in zip(x, sums, strict=True))
+        out[i] = (n, exact, (np.array(x) - sums / n) @ parts[:, :4] / np.sqrt(values[:4]))
+    return out, values, parts
+
+
+def check(got, rows, tolerance=1e-8):
+    want, values, _ = plain(rows)
+    by_id: dict = {}
+    for r in got:
+        by_id.setdefault(r["vec_id"] if "vec_id" in r else r["id"], []).append(r)
+    assert by_id.keys() == want.keys()
+    signs = None
+    for i, (n, deviation, w) in want.items():
+        own = sorted(by_id[i], key=lambda r: r["component"])
+        assert [r["component"] for r in own] == list(range(1, len(w) + 1))
+        assert all((r["n"], r["deviation"]) == (n, deviation) for r in own)
+        ours = np.array([r["whitened"] for r in own])
+        if signs is None and np.abs(w).min() > 1e-3:
+            signs = np.sign(ours * w)
+        if signs is not None:
+            assert np.abs(ours - signs * w).max() < tolerance
+        assert np.allclose([r["explained"] for r in own], values[: len(w)] / values.sum(), rtol=1e-9)
+        assert all(r["identity_error"] < 1e-9 for r in own)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_rank_one_update(seed):
+    """Also with equal and tiny eigenvalues, zeros in the vector, and scales far apart."""
+    rng = np.random.default_rng(seed)
+    d = int(rng.integers(1, 40))
+    values = np.sort(rng.choice([0, 0, 1, 1, 1 + 1e-15, 2, 1e-8, 1e6], d).astype(float) if seed % 2 else np.abs(rng.normal(size=d)))
+    u = np.linalg.qr(rng.normal(size=(d, d)))[0]
+    v = rng.normal(size=d) * 10.0 ** rng.integers(-6, 4) * (rng.random(d) < (0.5 if seed % 3 else 2))
+    got, turned = whitening.rank_one(values, u, v)
+    want = u @ np.diag(values) @ u.T + np.outer(v, v)
+    assert np.abs(turned.T @ turned - np.eye(d)).max() < 1e-13
+    assert np.abs(turned @ np.diag(got) @ turned.T - want).max() <= 1e-13 * max(1e-300, np.abs(want).max())
+    assert (np.diff(got) >= 0).all()
+
+
+def test_roots_lie_between_the_poles():
+    d = np.array([0.0, 1e-9, 1.0, 1.0 + 1e-12, 5.0])
+    z = np.array([1e-5, 1.0, 1e-6, 2.0, 1e-3])
+    pole, t = whitening.secular_roots(d, z)
+    for k in range(len(d)):
+        root = Fraction(d[pole[k]]) + Fraction(t[k])
+        assert Fraction(d[k]) < root and (k + 1 == len(d) or root < Fraction(d[k + 1]))
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_blocks_and_partitions_give_one_spectrum(spark, monkeypatch, block):
+    """A block of one row is the plain update by that row."""
+    monkeypatch.setattr(whitening, "FAN", 2)
+    x = np.random.default_rng(5).integers(-300, 300, (260, 9)) * np.arange(1, 10)
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "x array<long>").repartition(5)
+    s = whitening.spectrum_of(df, 9, block)
+    centred = x - x.mean(axis=0)
+    assert (s.n, s.sums) == (260, x.sum(axis=0).tolist())
+    want = centred.T @ centred
+    assert np.abs(s.vectors @ np.diag(s.values) @ s.vectors.T - want).max() < 1e-11 * np.abs(want).max()
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(2)
+    good = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(60)]
+    good += [(100 + i, good[i % 3][1]) for i in range(30)] + [(None, good[4][1])]  # a third of all rows alike
+    nan, inf = float("nan"), float("inf")
+    bad = [(900, None), (901, [1.0, None, 0, 0, 0, 0]), (902, [nan, 0.0, 0, 0, 0, 0]), (903, [0.0, -inf, 0, 0, 0, 0]), (904, []), (905, [1.0, 2.0]), (906, [3e38, 0.0, 0, 0, 0, 0])]
+    df = spark.createDataFrame([(i, [None if c is None else float(c) for c in v] if v is not None else None, 1) for i, v in good + bad], VECS)
+    df = df.selectExpr("*", "'kept' AS x", "1 AS n", "2 AS component", "3 AS id")
+    check(whitening.whiten(df.repartition(3)).collect(), good)
+
+
+def test_no_rows_and_no_variance(spark):
+    none = spark.createDataFrame([], VECS)
+    assert whitening.whiten(none).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(1, None, 1), (2, [], 1)], VECS)).count() == 0
+    same = whitening.whiten(spark.createDataFrame([(1, [0.5, 1.0], 1), (2, [0.5, 1.0], 1)], VECS)).collect()
+    assert sorted((r["id"], r["component"], r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) for r in same) == [
+        (i, c, 1, 0, None, 0.0, None) for i in (1, 2) for c in (1, 2)
+    ]
+    line = whitening.whiten(spark.createDataFrame([(i, [float(i), 1.0], 1) for i in range(5)], VECS)).orderBy("id", "component").collect()
+    assert [r["whitened"] is None for r in line] == [False, True] * 5
+    assert abs(line[0]["whitened"] + 2 / np.sqrt(2)) < 1e-12 and line[0]["explained"] == 1.0
+
+
+def test_deviations_beyond_machine_words():
+    x = np.array([[1 << 40, -3], [5, 7]])
+    assert whitening.deviations(x, 1 << 24, [9, -11]) == [None, sum((5 * (1 << 24) - 9) ** 2 for _ in (0,)) + (7 * (1 << 24) + 11) ** 2]
+
+
+def test_query(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = [r.asDict() for r in QUERIES["op13_whitening"](spark, SF).collect()]
+    check(got, rows)
