@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.llm.common import delete_written, freed, slices, written
@@ -213,8 +213,30 @@ def candidates(keyed: DataFrame) -> DataFrame:
     return probes.join(index, ["key", "share"]).filter("last_a <= last_b AND a <> b").select("a", "b")
 
 
-def _near(a: Column, b: Column) -> Column:
-    return F.levenshtein(a, b, 1) == 1
+def one_edit(a: str, b: str) -> bool:
+    """Whether one inserted, deleted or replaced code point turns ``a`` into ``b``."""
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    low, high = 0, len(a)  # around the length of what both begin with
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle - 1)
+    return a[low + (len(a) == len(b)) :] == b[low + 1 :]
+
+
+def _long_pairs(met: DataFrame, found: DataFrame) -> DataFrame:
+    """Near ones of the pairs with a word that goes by its digest; Spark's edit distance takes long with words that long."""
+    texts = found.filter(F.length("word") >= LONG).select("k", "word")  # one of 64 may be near one of 65
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in freed(batches):
+            near = [one_edit(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    rows = met.distinct().join(texts.toDF("a", "word_a"), "a").join(texts.toDF("b", "word_b"), "b")
+    return rows.select("a", "b", "word_a", "word_b").mapInArrow(run, "a string, b string")
 
 
 def near_pairs(found: DataFrame) -> DataFrame:
@@ -222,12 +244,12 @@ def near_pairs(found: DataFrame) -> DataFrame:
     keyed = written(_keyed(found, gram_order(found)), "gram-keys")
     met = candidates(keyed)
     long = F.col("a").startswith("#") | F.col("b").startswith("#")
-    short = met.filter(~long & _near(F.col("a"), F.col("b")))
-    texts = found.filter(F.length("word") >= LONG).select("k", "word")  # one of 64 may be near one of 65
-    rest = met.filter(long).distinct()
-    rest = rest.join(texts.toDF("a", "word_a"), "a").join(texts.toDF("b", "word_b"), "b").filter(_near(F.col("word_a"), F.col("word_b")))
-    pairs = short.union(rest.select("a", "b"))
-    return pairs.union(pairs.select("b", "a")).distinct()
+    pairs = met.filter(~long & (F.levenshtein("a", "b", 1) == 1))
+    some = keyed.filter(F.col("k").startswith("#")).first()  # without long words their part of the plan is left out
+    if some:
+        pairs = pairs.union(_long_pairs(met.filter(long), found))
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")
+    return pairs.select(both).select("p.a", "p.b").distinct()
 
 
 def roots(links: DataFrame) -> DataFrame:

@@ -1,0 +1,169 @@
+"""Spelling variants by pivotal grams."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+from noticeworks.llm import spelling
+from noticeworks.llm.queries import QUERIES
+from tests.llm.helpers import DOCS, ODD, SF, no_documents, odd_documents
+
+
+def plain_words(docs: list[tuple]) -> dict[str, int]:
+    counts: Counter = Counter()
+    for id_, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if id_ is None else id_}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    i = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+    return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
+
+
+def neighbours(words) -> dict[str, set[str]]:
+    """Every word of a pair meets the other under itself with one place cut out or blanked; then all are compared. Very long ones are compared with all."""
+    meet: dict[str, set[str]] = {}
+    for w in words:
+        if len(w) > 1000:
+            meet[w] = set(words)
+            continue
+        for key in {w, *(w[:i] + "*" + w[i + 1 :] for i in range(len(w))), *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            meet.setdefault(key, set()).add(w)
+    out: dict[str, set[str]] = {w: set() for w in words}
+    for group in meet.values():
+        for a, b in combinations(group, 2):
+            if near(a, b):
+                out[a].add(b)
+                out[b].add(a)
+    return out
+
+
+def plain(docs: list[tuple]) -> set[tuple]:
+    n = plain_words(docs)
+    close = neighbours(n)
+    form = {}
+    for w, others in close.items():
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+
+    def root(w: str) -> str:
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {(w, form[w], root(w), n[w], len(close[w]), n[form[w]] if form[w] else None) for w in n}
+
+
+def got(df) -> list[tuple]:
+    return [(r["word"], r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in df.collect()]
+
+
+def equal(df, docs: list[tuple]) -> int:
+    rows = got(df)
+    assert len(rows) == len(set(rows))
+    assert set(rows) == plain(docs)
+    return len(rows)
+
+
+def test_pivots_are_the_lightest_that_do_not_overlap():
+    rng = random.Random(1)
+    for _ in range(300):
+        places = sorted(rng.sample(range(12), rng.randint(3, 6)))
+        weights = [rng.randint(0, 5) for _ in places]
+        found = spelling.pivots(places, weights)
+        pairs = [(a, b) for a, b in combinations(range(len(places)), 2) if places[b] - places[a] >= 2]
+        assert tuple(found) in pairs
+        assert sum(weights[i] for i in found) == min(weights[a] + weights[b] for a, b in pairs)
+
+
+def test_every_edit_meets_under_a_key():
+    """All one-edit neighbours of random words, over few letters so that grams repeat."""
+    rng = random.Random(2)
+    for trial in range(120):
+        letters = "ab" if trial % 3 else "abcdé"
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(5, 9)))
+        others = {word[:i] + c + word[j:] for i in range(len(word) + 1) for j in (i, i + 1) for c in ("", *letters)}
+        others = {w for w in others if w != word and len(w) >= 5 and near(word, w)}
+        grams = sorted({w[i : i + 2] for w in {word, *others} for i in range(len(w) - 1)}, key=lambda g: (rng.random(), g))
+        keys = spelling.Keys({g: (r, r) for r, g in enumerate(grams)})
+        last, index, probes = keys.of(word)
+        for other in others:
+            last2, index2, probes2 = keys.of(other)
+            assert (last <= last2 and set(probes) & set(index2)) or (last2 <= last and set(probes2) & set(index)), (word, other)
+
+
+def test_one_edit():
+    rng = random.Random(4)
+    for _ in range(2000):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randint(0, 6))) for _ in "ab")
+        assert spelling.one_edit(a, b) == near(a, b)
+
+
+def documents(spark, texts: list[str]):
+    return spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], DOCS).repartition(3)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_random_words(spark, monkeypatch, hot):
+    """Also with keys dealt out by shares, few counts held in a task and words that go by their digest."""
+    if hot:
+        monkeypatch.setattr(spelling, "LEAST_HOT", 2)
+        monkeypatch.setattr(spelling, "SHARE", 10**9)
+        monkeypatch.setattr(spelling, "HELD", 20)
+        monkeypatch.setattr(spelling, "LONG", 8)
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcéÀ") for _ in range(rng.randint(5, 12))) for _ in range(60)]
+    every = []
+    for w in base:
+        for _ in range(5):
+            i = rng.randrange(len(w))
+            every.append(rng.choice([w, w[:i] + w[i + 1 :], w[:i] + "a" + w[i:], w[:i] + "b" + w[i + 1 :]]))
+    texts = [" ".join(rng.choices(every, k=40)) for _ in range(60)]
+    assert equal(spelling.variants(documents(spark, texts)), list(enumerate(texts))) > 50
+
+
+def test_chains_of_forms(spark):
+    words = ["abcdefgh" + "x" * k for k in range(6)]
+    text = " ".join(f"{w} " * (3 * 2 ** (5 - k)) for k, w in enumerate(words))
+    rows = got(spelling.variants(documents(spark, [text])))
+    assert {r[2] for r in rows if r[0].startswith("abcdefgh")} == {"abcdefgh"}
+    assert equal(spelling.variants(documents(spark, [text])), [(0, text)]) == 6
+
+
+def test_long_and_repetitive_words(spark):
+    long = "ab" * 20_000
+    texts = [f"{long} {long}c {long[:-1]}c x{long} " * 3, "q" * 64 + " " + "q" * 65 + " " + "q" * 66, "q" * 64, "q" * 65 + " " + "q" * 66] * 2
+    rows = got(spelling.variants(documents(spark, texts)))
+    n_near = {r[0]: r[4] for r in rows}
+    assert n_near[long] == 3 and n_near[long + "c"] == 2  # with the word whose last letter is another
+    assert n_near["q" * 64] == 1 and n_near["q" * 65] == 2
+    assert {r[0]: r[3] for r in rows} == plain_words(list(enumerate(texts)))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark, ("word", "n", "k", "form", "id"))
+    docs = docs.union(docs).union(docs)
+    equal(spelling.variants(docs), [r[:2] for r in ODD] * 3)
+    assert spelling.variants(no_documents(spark)).count() == 0
+    assert spelling.variants(spark.createDataFrame([(None, None, None, None, None)], DOCS)).count() == 0
+
+
+def test_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert equal(QUERIES["op11_spelling"](spark, SF), docs) > 1000
