@@ -458,6 +458,12 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY announcement_id ORDER BY d) = 1""",
     "q_load_questions": f"WITH {QUESTIONS} SELECT question_id, department, date_tabled FROM qsilver",
     "q_load_records": f"WITH {RECORDS} SELECT record_id, organisation_name, sensitive_attributes FROM rc",
-    "q_one_table": f"{_WAVES} SELECT notice_id, ai_confidence FROM kept WHERE source = 'contracts_finder'",
+    "q_one_table": f"{_WAVES} SELECT notice_id, ai_confidence FROM kept",
+    "q_compacted": f"WITH {SILVER} SELECT notice_id, title, 1 AS n_parts FROM silver",
+    "q_stream_announcements": f"""WITH {ANNOUNCEMENTS} SELECT announcement_id, ai_confidence FROM ag
+        WHERE ai_relevant AND document_type IN ({", ".join(f"'{t}'" for t in fixed.ANNOUNCEMENT_DOCUMENT_TYPES)})
+        QUALIFY row_number() OVER (PARTITION BY announcement_id ORDER BY CASE WHEN d % 3 = 0 THEN 0 ELSE 1 END, d) = 1""",
+    "q_stream_questions": f"WITH {QUESTIONS} SELECT question_id, department, date_tabled FROM qsilver",
+    "q_stream_records": f"WITH {RECORDS} SELECT record_id, organisation_name, sensitive_attributes FROM rc",
     "q_stream_counts": _STREAMED,
 }

@@ -20,11 +20,11 @@ from noticeworks.operators.median import exact_median
 from noticeworks.plans import explore, export, feed_loads, feeds, gold
 from noticeworks.plans.load import archive_notices, load_archive
 from noticeworks.plans.notices import good, parse_releases, quarantine
-from noticeworks.plans.store import read_runs
+from noticeworks.plans.store import compact, merge_run, read_manifest, read_runs
 from noticeworks.schemas import TABLES, append_by_name, conform, empty, evolve, read_table
 from noticeworks.session import configure, new_path
 from noticeworks.sources import archives, html, pages, seeds
-from noticeworks.streaming.incremental import start_ingest
+from noticeworks.streaming.incremental import merge_batch, start_feed_ingest, start_ingest, stream_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,8 +135,7 @@ def q_jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_normalise_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = derive.package_lines(derive.release_json(derive.orders(spark, sf_dir)), extra=True)
-    found = archives.normalise_packages(lines.select("k", "line"))
+    found = archives.normalise_packages(derive.extra_lines(spark, sf_dir))
     rid = F.get_json_object("release", "$.id")
     return found.select(
         "k",
@@ -820,18 +819,39 @@ def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads and streams into one table, a fresh checkpoint and a repeated load: every notice once."""
+    """Loads and streams of both sources into one table, with parts put together in between, a fresh checkpoint, a repeated
+    load and a repeated stream batch: every notice once."""
     root = new_path(spark, "one")
-    lines = derive.archive_lines(spark, sf_dir).filter(F.col("src") == fixed.CONTRACTS_FINDER)
-    _in_order(lines.filter("_ord % 3 = 0")).write.text(f"{root}/archive")
-    _in_order(lines).write.text(f"{root}/landing")
-    load_archive(spark, f"{root}/archive", f"{root}/table", fixed.CONTRACTS_FINDER, run="first")
-    for checkpoint in ("a", "b"):
-        start_ingest(
-            spark, f"{root}/landing", f"{root}/table", f"{root}/{checkpoint}", fixed.CONTRACTS_FINDER
-        ).awaitTermination()
-    load_archive(spark, f"{root}/archive", f"{root}/table", fixed.CONTRACTS_FINDER, run="first")
-    return read_runs(spark, f"{root}/table").select("notice_id", "ai_confidence")
+    table = f"{root}/table"
+    lines = derive.archive_lines(spark, sf_dir)
+    for source in BOTH:
+        own = lines.filter(F.col("src") == source)
+        _in_order(own.filter("_ord % 3 = 0")).write.text(f"{root}/archive-{source}")
+        _in_order(own).write.text(f"{root}/landing-{source}")
+        load_archive(spark, f"{root}/archive-{source}", table, source, run=f"first-{source}")
+        for checkpoint in ("a", "b"):
+            start_ingest(
+                spark, f"{root}/landing-{source}", table, f"{root}/{checkpoint}-{source}", source, compact_after=3
+            ).awaitTermination()
+        load_archive(spark, f"{root}/archive-{source}", table, source, run=f"first-{source}")
+        again = archives.read_lines(spark, f"{root}/landing-{source}")
+        merge_batch(again, 0, table, source, stream=stream_id(spark, f"{root}/a-{source}"))
+    return read_runs(spark, table).select("notice_id", "ai_confidence")
+
+
+@query
+def q_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten runs of overlapping tenths of all notices, every notice stored by the first that has it; then one part."""
+    path = new_path(spark, "compacted")
+    staged = f"{path}-batch"
+    silver_notices(spark, sf_dir).write.parquet(staged)
+    batch = spark.read.parquet(staged)
+    share = F.pmod(F.crc32(F.col("notice_id").cast("binary")), F.lit(10))
+    for k in range(10):
+        merge_run(batch.filter(share.isin(k, (k + 1) % 10)), path, f"run-{k}")
+    compact(spark, path)
+    parts = len(read_manifest(spark, path).parts)
+    return read_runs(spark, path).select("notice_id", "title", F.lit(parts).alias("n_parts"))
 
 
 @query
@@ -890,6 +910,38 @@ def q_load_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, feed_loads.RECORDS, items, "d").select("record_id", "organisation_name", "sensitive_attributes")
 
 
+def _streamed(spark: SparkSession, feed: feed_loads.Feed, items: DataFrame, number: str) -> DataFrame:
+    """Page files landed in two waves, the second with the first's items again and in new files, a stream run after each; then
+    a fresh checkpoint, which adds nothing."""
+    root = new_path(spark, f"stream-{feed.table}")
+    page = None
+    for wave, rows in (("wave=1", items.filter(F.col(number) % 3 == 0)), ("wave=2", items)):
+        page = _land(rows, number, f"{root}/pages/{wave}")
+        start_feed_ingest(spark, f"{root}/pages", f"{root}/table", f"{root}/cp", feed, page=page).awaitTermination()
+    start_feed_ingest(spark, f"{root}/pages", f"{root}/table", f"{root}/fresh", feed, page=page).awaitTermination()
+    return read_runs(spark, f"{root}/table", feed.table)
+
+
+@query
+def q_stream_announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.announcement_items(spark, sf_dir)
+    return _streamed(spark, feed_loads.ANNOUNCEMENTS, items, "d").select("announcement_id", "ai_confidence")
+
+
+@query
+def q_stream_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.question_items(spark, sf_dir)
+    return _streamed(spark, feed_loads.QUESTIONS, items.withColumn("n", F.col("conv_id") * 50 + F.col("turn") % 50), "n").select(
+        "question_id", "department", "date_tabled"
+    )
+
+
+@query
+def q_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = derive.record_items(spark, sf_dir)
+    return _streamed(spark, feed_loads.RECORDS, items, "d").select("record_id", "organisation_name", "sensitive_attributes")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which organisations buy but do not register? From archive lines to the reporting gap."""
     configure(spark)

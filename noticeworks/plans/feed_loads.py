@@ -14,12 +14,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks import fixed_values as fixed
-from noticeworks.operators.merge import known_keys, merge_insert_only
+from noticeworks.operators.merge import merge_insert_only
 from noticeworks.plans import feeds
 from noticeworks.plans.gold import run_count_columns
-from noticeworks.plans.load import _delete
 from noticeworks.plans.notices import good
-from noticeworks.plans.store import new_run, other_runs, write_run
+from noticeworks.plans.store import _delete, merge_run, new_run, write_run
 from noticeworks.schemas import KEYS, empty
 from noticeworks.session import new_path
 from noticeworks.sources.pages import candidate_filter, explode_items, read_pages, run_order
@@ -52,28 +51,25 @@ def announcement_candidates(
     return candidate_filter(seen, "_type", "_orgs", types, slugs).select(*items.columns)
 
 
-def load_feed(
-    spark: SparkSession,
-    path: str,
+def load_pages(
+    pages: DataFrame,
     table: str,
     feed: Feed,
-    run: str | None = None,
+    run: str,
     keep_all: bool = False,
     candidates: Callable[[DataFrame], DataFrame] | None = None,
     counts: Observation | None = None,
     quarantine_path: str | None = None,
-    page: Column | None = None,
 ) -> int:
-    """Load the page files at ``path`` into ``table``; returns the rows added.
+    """Unpack ``pages`` (``page``, ``body``), store what they add to ``table`` as ``run``, and set the rest aside.
 
-    ``candidates`` narrows the unpacked items (announcements default to :func:`announcement_candidates`).
-    ``page`` names a page by its file, in the order of which the first occurrence wins; by default the file's
-    name. ``counts`` and ``quarantine_path`` are those of an archive load.
+    ``candidates`` narrows the unpacked items (announcements default to :func:`announcement_candidates`). The first
+    occurrence in page order wins. ``counts`` and ``quarantine_path`` are those of an archive load. Returns the rows added.
     """
-    run = run or new_run("load")
+    spark = pages.sparkSession
     if candidates is None and feed is ANNOUNCEMENTS:
         candidates = announcement_candidates
-    items = explode_items(read_pages(spark, path, page), feed.field, unwrap=feed.unwrap)
+    items = explode_items(pages, feed.field, unwrap=feed.unwrap)
     items = candidates(items) if candidates else items
     parsed = feed.parse(items.withColumn("text", F.col("item")))
     if counts is not None:
@@ -86,10 +82,29 @@ def load_feed(
     flag = None if keep_all else feed.flag
     nothing = empty(spark, parsed.select(KEYS[feed.table]).schema)
     batch = merge_insert_only(good(parsed), nothing, feed.table, order, flag)
-    known = known_keys(other_runs(spark, table, run, feed.table), batch, KEYS[feed.table])
-    added = write_run(batch.join(known, KEYS[feed.table], "left_anti"), table, run)
+    added = merge_run(batch, table, run, feed.table)
     if quarantine_path:
         bad = parsed.filter("reason IS NOT NULL")
         write_run(bad.select(F.col("page").alias("file"), "text", "reason"), quarantine_path, run)
     _delete(spark, staged)
     return added
+
+
+def load_feed(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    feed: Feed,
+    run: str | None = None,
+    keep_all: bool = False,
+    candidates: Callable[[DataFrame], DataFrame] | None = None,
+    counts: Observation | None = None,
+    quarantine_path: str | None = None,
+    page: Column | None = None,
+) -> int:
+    """Load the page files at ``path`` into ``table`` (see :func:`load_pages`); returns the rows added.
+
+    ``page`` names a page by its file, in the order of which the first occurrence wins; by default the file's name.
+    """
+    pages = read_pages(spark, path, page)
+    return load_pages(pages, table, feed, run or new_run("load"), keep_all, candidates, counts, quarantine_path)

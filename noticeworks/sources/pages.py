@@ -13,11 +13,14 @@ from noticeworks.schemas import columns
 BRONZE_SCHEMA = columns("page string, body string, source string, run_date date, run_id string")
 
 
+def page_name(page: Column | None = None) -> Column:
+    return F.substring_index(F.col("_metadata.file_path"), "/", -1) if page is None else page
+
+
 def read_pages(spark: SparkSession, path: str, page: Column | None = None) -> DataFrame:
     """One row per landed JSON file: ``(page, body)``. A page is named by its file, or by ``page``."""
-    name = F.substring_index(F.col("_metadata.file_path"), "/", -1) if page is None else page
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        name.alias("page"),
+        page_name(page).alias("page"),
         F.col("value").alias("body"),
     )
 
