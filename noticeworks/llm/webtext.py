@@ -7,7 +7,8 @@ text of every page is taken again from the containers on it; a page that has no
 to nothing in it, takes its own best path.
 
 Left out everywhere: scripts, styles and other unshown elements, navigation, forms, footers, asides, page headers, and
-elements whose class, id or role says menu, header, sidebar, notice, advert, comments or the like.
+elements whose class, id or role says menu, header, sidebar, advert, comments or the like; words that articles are about as
+well (share, alert, notice, legal) say so only in a name made of such words alone.
 
 Defined results: null and empty pages have an empty text; a null url, or one without a host, belongs to a
 host of its own, which votes for nothing; unclosed tags end with their parents; a tag cut off by the
@@ -29,8 +30,8 @@ from noticeworks.llm.common import OWN, freed, written
 
 # Kinds of elements and words in class names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe textarea title svg math object select".split())
-INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = set("script style noscript template iframe textarea title svg annotation select".split())
+INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover semantics".split())
 CONTAINERS = set("body main article section div td".split())
 DROPPED = set("nav footer aside form button menu dialog head".split())
 #: An opening tag (key) ends an open one of these kinds, if nothing of the second kinds stands between.
@@ -43,16 +44,24 @@ ENDS = {
     "tr": ({"tr"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Words that make an element no text wherever they stand in a class or id.
 JUNK = set(
     "nav navbar navigation menu menus breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar aside widget widgets cookie cookies consent "
-    "gdpr notice notices alert banner popup modal overlay newsletter subscribe subscription signup ad ads advert adverts advertisement "
-    "advertising sponsor sponsored promo promotion related recommended recommendations share sharing social comment comments respond "
-    "replies disqus pagination pager toolbar login search copyright legal skip hidden".split()
+    "gdpr popup modal overlay newsletter subscribe subscription signup ad ads advert adverts advertisement advertising sponsor sponsored "
+    "comment comments respond replies disqus pagination pager toolbar login".split()
 )
+#: Words that do so only in a name made of nothing but such words and COMPANIONS: "share-buttons", not "share-prices".
+AMBIGUOUS = set("notice notices alert alerts banner promo promotion related recommended recommendations share sharing social search copyright legal skip hidden".split())
+COMPANIONS = set(
+    "bar block box boxes button buttons btn container content inner outer item items link links list wrap wrapper panel area section group row col icon icons "
+    "site page top bottom left right main global message messages info text note post posts article articles story stories more this us on to js by and the".split()
+) | {""}  # a number alone
 GOOD = set("article content post entry story body text main".split())
 ROLES = set("navigation banner contentinfo complementary search form menu dialog alert".split())
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: In the source itself: lower-casing changes the length of some texts.
+RAW_END = {tag: re.compile("</" + tag, re.IGNORECASE | re.ASCII) for tag in RAW}
 #: A longer path stands as its digest in the paths below it, so that deep nesting does not make long keys.
 PATH_CHARS = 2000
 
@@ -66,7 +75,7 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        low, n, at = source.lower(), len(source), 0
+        n, at = len(source), 0
         stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]  # tag, container, dropped, nearest element that is not inline
         where: dict[str, list[int]] = {}  # places in the stack, by tag
         links = 0
@@ -118,11 +127,9 @@ class Page:
                     self.pieces.append((stack[-1][1], None, False))
                 continue
             if tag in RAW:
-                end = low.find("</" + tag, at)
-                at = n if end < 0 else end
-                if end >= 0:
-                    end = source.find(">", end)
-                    at = n if end < 0 else end + 1
+                found = RAW_END[tag].search(source, at)
+                end = source.find(">", found.end()) if found else -1
+                at = n if end < 0 else end + 1
                 continue
             if tag not in INLINE:
                 self._end_implied(tag, stack, where, close)
@@ -131,11 +138,11 @@ class Page:
                     self.pieces.append((stack[-1][1], None, False))
                 continue
             inside, dropped = stack[-1][1], stack[-1][2]
-            words, role = _marks(source[name.end() : end]) if end > name.end() else ((), "")
+            words, role, junk = _marks(source[name.end() : end]) if end > name.end() else ((), "", False)
             if not dropped and tag != "body" and tag != "html":
                 in_article = where.get("article") or where.get("main")
                 dropped = tag in DROPPED or role in ROLES or role == "-hidden" or tag == "header" and not in_article
-                dropped = dropped or tag not in ("article", "main") and any(w in JUNK for w in words)
+                dropped = dropped or tag not in ("article", "main") and junk
             if tag in CONTAINERS and not dropped:
                 label = tag + "".join("." + w for w in words)
                 above = self.paths[inside]
@@ -213,18 +220,22 @@ def _tag_end(source: str, at: int) -> int:
     return -1
 
 
-def _marks(attributes: str) -> tuple[list[str], str]:
-    """Words of class and id, digits as #, and the role."""
-    words, role = [], ""
+def _marks(attributes: str) -> tuple[list[str], str, bool]:
+    """Words of class and id, digits as #, the role, and whether one of the names says that this is no text."""
+    words, role, junk = [], "", False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
-            words += [re.sub(r"\d+", "#", w) for w in re.split(r"[\s_-]+", value) if w]
+            for name in value.split():
+                own = [re.sub(r"\d+", "#", w) for w in re.split(r"[_-]+", name) if w]
+                junk = junk or any(w in JUNK for w in own)
+                junk = junk or any(w in AMBIGUOUS for w in own) and all(w in AMBIGUOUS or w.strip("#") in COMPANIONS for w in own)
+                words += own
         elif key == "role":
             role = value.strip()
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             role = "-hidden"
-    return words, role
+    return words, role, junk
 
 
 def host_of(url) -> F.Column:

@@ -256,6 +256,27 @@ def test_pages(html, text):
     assert text_of(html) == text
 
 
+def test_letters_that_change_length_in_lower_case():
+    """Each of these letters lower-cases to two code points, which must not shift where a script ends."""
+    page = f"<article><p>{'İ' * 200}</p><SCRIPT>var a;</ScRiPt><p>The rest of it.</p><style>x</style><p>End.</p></article>"
+    assert text_of(page) == f"{'İ' * 200} The rest of it. End."
+
+
+@pytest.mark.parametrize("name", ["share-prices", "alert-level", "legal-history", "search-for-gold", "notice-of-death", "social-studies"])
+def test_names_that_articles_are_about(name):
+    assert text_of(f"<article><p>Before.</p><div class='{name}'>Kept text.</div><p>After.</p></article>") == "Before. Kept text. After."
+
+
+@pytest.mark.parametrize("name", ["share-buttons", "share", "related posts", "site-notice", "legal-links", "social-share-bar", "alert_box2", "skip-to-content"])
+def test_names_of_what_is_no_text(name):
+    assert text_of(f"<article><p>Before.</p><div class='{name}'>Gone.</div><p>After.</p></article>") == "Before. After."
+
+
+def test_formulas_and_objects_are_text():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math> hold.</p><object data=a><p>A map of it.</p></object></article>"
+    assert text_of(page) == "Let x=1 hold. A map of it."
+
+
 def test_pages_take_linear_time():
     start = time.time()
     for html in ("<p>" * 50_000, "<div>" * 50_000, '<a href="' * 50_000, "<li><b>" * 50_000, "</p>" * 50_000, "<" * 50_000, "<!--" * 50_000, "<script>" * 50_000):
