@@ -85,6 +85,16 @@ def release_json(df: DataFrame) -> DataFrame:
             "release",
             F.when(F.expr("k % 107 = 0"), F.concat(cut, F.lit(',"tender":null}')))
             .when(F.expr("k % 109 = 0"), F.concat(cut, F.lit(',"buyer": null}')))
+            # Parts two levels down that are of a wrong kind.
+            .when(
+                F.expr("k % 131 = 0 AND cpv IS NOT NULL"),
+                F.regexp_replace("_text", r'"items":\[\{"classification":\{[^}]*\}', '"items":[{"classification":"CPV"'),
+            )
+            .when(F.expr("k % 137 = 0 AND has_aw"), F.regexp_replace("_text", r'"suppliers":\[[^\]]*\]', '"suppliers":["Acme"]'))
+            .when(
+                F.expr("k % 139 = 0 AND has_aw"),
+                F.regexp_replace("_text", r'"identifier":\{"scheme":"GB-COH"[^}]*\}', '"identifier":"GB-1"'),
+            )
             .otherwise(F.col("_text")),
         )
         .drop("_text")

@@ -104,6 +104,9 @@ n AS (SELECT k, codes, docs,
         WHEN k % 4 = 1 THEN 'https://www.find-tender.service.gov.uk/Notice/0' || k END AS source_url,
     CASE WHEN ocid = '' OR fid IS NULL OR fid = '' THEN 'no ocid or id' WHEN k % 107 = 0 THEN 'tender is null'
         WHEN k % 109 = 0 THEN 'buyer is null'
+        WHEN k % 131 = 0 AND cpv IS NOT NULL THEN 'tender.items element.classification is no object'
+        WHEN k % 137 = 0 AND has_aw THEN 'award supplier is no object'
+        WHEN k % 139 = 0 AND has_aw AND (k % 14 <> 0 OR a2) THEN 'supplier identifier is no object'
         WHEN k % 127 = 0 AND a1amount IS NULL AND NOT a2 THEN 'amount is no number' END AS reason,
     CASE WHEN k % 17 <> 0 AND k % 113 = 0 THEN 'date text is no date' END AS issue
     FROM o2),

@@ -250,52 +250,136 @@ def stage(r: Column) -> Column:
 
 # --- wrong types ---------------------------------------------------------------------------------
 
+#: What each part has to be, if it is there: a path, in which ``[]`` stands for each element, and a kind. Where several parts are wrong,
+#: the first of the list is named. Parts that are read only without a tender title come second.
+KINDS = (
+    ("tender", "object"),
+    ("buyer", "object"),
+    ("buyer.identifier", "object"),
+    ("tender.value", "object"),
+    ("tender.classification", "object"),
+    ("tender.classification.scheme", "text"),
+    ("tender.contractPeriod", "object"),
+    ("tender.title", "text"),
+    ("tender.description", "text"),
+    ("date", "text"),
+    ("tender.items", "list"),
+    ("tender.items[]", "object"),
+    ("tender.items[].classification", "object"),
+    ("tender.items[].classification.scheme", "text"),
+    ("tender.documents", "list"),
+    ("tender.documents[]", "object"),
+    ("relatedProcesses", "list"),
+    ("relatedProcesses[]", "object"),
+    ("tag", "list"),
+    ("awards", "list"),
+    ("awards[]", "object"),
+    ("awards[].value", "object"),
+    ("awards[].suppliers", "list"),
+    ("awards[].documents", "list"),
+    ("awards[].documents[]", "object"),
+    ("awards[].contractPeriod", "object"),
+)
+KINDS_WITHOUT_TITLE = (("planning", "object"), ("planning.project", "object"))
+_VARIANT_KINDS = {"object": "OBJECT", "list": "ARRAY", "text": "STRING"}
+#: How a number, a truth value, an object or a list looks as a text.
+_ODD = r"^(-?[0-9][0-9.eE+-]*|true|false|[{\[](?s:.*))$"
+
+
+def _is_no(kind: str, x: Column, element: bool) -> Column:
+    """Whether ``x`` (VARIANT) is there and not of the kind. Empty texts and objects do as lists, as nothing is read from them; a
+    null counts only as the element of a list, :func:`null_reason` sees to the others."""
+    shape = F.schema_of_variant(x)
+    wrong = ~F.startswith(shape, F.lit(_VARIANT_KINDS[kind]))
+    if not element:
+        wrong = wrong & (shape != "VOID")
+    if kind == "list":
+        wrong = wrong & ~F.coalesce(x.try_cast("string").isin("", "{}"), F.lit(False))
+    return F.coalesce(wrong, F.lit(False))
+
+
+def _compiled(path: str, kind: str):
+    """A test of one line of the table, over a VARIANT."""
+    first, *rest = path.split("[]")
+
+    def at(x: Column, steps: list[str]) -> Column:
+        step = steps[0].strip(".")
+        if len(steps) == 1:
+            return _is_no(kind, F.try_variant_get(x, f"$.{step}", "variant") if step else x, element=not step)
+        elements = F.try_variant_get(x, f"$.{step}" if step else "$", "array<variant>")
+        return F.coalesce(F.exists(elements, lambda e: at(e, steps[1:])), F.lit(False))
 
-_AWARD_SHAPES = "array<struct<value string, suppliers string, documents string, contractPeriod string>>"
+    return lambda v: at(v, [first, *rest])
 
 
-def type_reason(release: str, r: Column, awards: Column) -> Column:
-    """Why a release with something else in place of an object or list cannot be read, or NULL.
+def _spoken(path: str) -> str:
+    return path.replace("awards[].contractPeriod", "award contract period").replace("awards[].", "award ").replace("[]", " element")
 
-    The text is looked at again only where the parsed part is missing though its name occurs. The planning
-    part is read only without a tender title, so only then it matters.
+
+def type_reason(v: Column, r: Column, awards: Column) -> Column:
+    """Why a release with a part of another kind than :data:`KINDS` says cannot be read, or NULL.
+
+    ``v`` is the release as VARIANT, NULL where :func:`suspicious` found nothing to look into. Of the suppliers only the one that is
+    taken matters: the first of the first award that has any.
     """
-    text = F.col(release)
     no_title = blank_to_null(r["tender"]["title"]).isNull()
 
-    def missing(path: str) -> Column:
+    def tests(kinds) -> list[Column]:
+        return [F.when(_compiled(path, kind)(v), f"{_spoken(path)} is no {kind}") for path, kind in kinds]
+
+    v_awards = F.try_variant_get(v, "$.awards", "array<variant>")
+    filled = F.filter(v_awards, lambda a: F.coalesce(F.size(F.try_variant_get(a, "$.suppliers", "array<variant>")) > 0, F.lit(False)))
+    supplier = F.try_variant_get(F.get(filled, F.lit(0)), "$.suppliers[0]", "variant")
+    taken = [
+        F.when(_is_no("object", supplier, element=True), "award supplier is no object"),
+        F.when(_is_no("object", F.try_variant_get(supplier, "$.identifier", "variant"), element=False), "supplier identifier is no object"),
+    ]
+    return F.when(v.isNotNull(), F.coalesce(*tests(KINDS), F.when(no_title, F.coalesce(*tests(KINDS_WITHOUT_TITLE))), *taken))
+
+
+def suspicious(release: str, r: Column, awards: Column) -> Column:
+    """Whether a part may be of a wrong kind: it was not read though its name occurs, or it is a text that looks like something else.
+
+    A quick look at what is parsed already, so that few releases have to be parsed as VARIANT.
+    """
+    text = F.col(release)
+
+    def unread(part: Column, name: str, inside: Column = text) -> Column:
+        return part.isNull() & F.contains(inside, F.lit(f'"{name}"'))
+
+    def at(path: str) -> Column:
         part = r
         for name in path.split("."):
             part = part[name]
-        named = F.contains(text, F.lit(f'"{path.split(".")[-1]}"'))
-        return part.isNull() & named & F.get_json_object(text, f"$.{path}").isNotNull()
-
-    objects = ("tender", "buyer", "buyer.identifier", "tender.value", "tender.classification", "tender.contractPeriod")
-    lists = ("tender.items", "tender.documents", "relatedProcesses", "tag")
-    found = F.when(r.isNull(), None)
-    for path in objects:
-        found = found.when(missing(path), f"{path} is no object")
-    for path in ("planning", "planning.project"):
-        found = found.when(no_title & missing(path), f"{path} is no object")
-    for path in lists:
-        found = found.when(missing(path), f"{path} is no list")
-    no_list = (awards.isNull() & blank_to_null(r["awards"]).isNotNull()) | (
-        r["awards"].startswith("{") & (r["awards"] != "{}")
-    )
+        return part
 
-    def other(part: Column, sign: str) -> Column:
-        return ~part.startswith(sign)
+    def odd(x: Column) -> Column:
+        return x.rlike(_ODD)
 
-    # One look at each award, so that its text is parsed once for all four parts.
-    per_award = F.transform(
-        F.from_json(r["awards"], _AWARD_SHAPES),
-        lambda a: F.when(other(a["value"], "{"), "award value is no object")
-        .when(other(a["suppliers"], "["), "award suppliers is no list")
-        .when(other(a["documents"], "["), "award documents is no list")
-        .when(other(a["contractPeriod"], "{"), "award contract period is no object"),
+    whole = [unread(at(p), p.split(".")[-1]) for p, kind in KINDS if "[]" not in p and p != "awards" and kind != "text"]
+    whole += [unread(at(p), p.split(".")[-1]) for p, _ in KINDS_WITHOUT_TITLE]
+    texts = [odd(at(p)) for p, kind in KINDS if "[]" not in p and kind == "text"]
+    items = F.exists(
+        r["tender"]["items"],
+        lambda i: i.isNull() | unread(i["classification"], "classification") | F.coalesce(odd(i["classification"]["scheme"]), F.lit(False)),
+    )
+    lists = [F.exists(part, lambda x: x.isNull()) for part in (r["tender"]["documents"], r["relatedProcesses"])]
+    given = blank_to_null(r["awards"])
+    no_list = (awards.isNull() & given.isNotNull()) | (r["awards"].startswith("{") & (r["awards"] != "{}"))
+    each = F.exists(
+        awards,
+        lambda a: a.isNull()
+        | unread(a["value"], "value", r["awards"])
+        | unread(a["suppliers"], "suppliers", r["awards"])
+        | unread(a["documents"], "documents", r["awards"])
+        | unread(a["contractPeriod"], "contractPeriod", r["awards"])
+        | F.coalesce(F.exists(a["documents"], lambda d: d.isNull()), F.lit(False))
+        | F.coalesce(F.exists(a["suppliers"], lambda x: x.isNull() | unread(x["identifier"], "identifier", r["awards"])), F.lit(False)),
     )
-    first = F.get(F.filter(per_award, lambda x: x.isNotNull()), F.lit(0))
-    return found.when(no_list, "awards is no list").otherwise(first)
+    found = F.lit(False)
+    for test in (*whole, *texts, items, *lists, no_list, each):
+        found = found | F.coalesce(test, F.lit(False))
+    return found
 
 
 def zero_id(release: str, r: Column) -> Column:

@@ -13,28 +13,31 @@ from noticeworks.functions.text import blank_to_null, first_non_blank, to_day, t
 
 
 def with_release(df: DataFrame, release: str = "release", strict: bool = True) -> DataFrame:
-    """Parse release JSON once: adds ``r``, ``aw`` (its awards) and, if ``strict``, ``v`` (VARIANT).
+    """Parse release JSON once: adds ``r``, ``aw`` (its awards), ``suspect`` and ``v`` (VARIANT).
 
-    ``v`` is there only for texts with a null literal in them: no other can hold an explicit null,
-    so no other needs the second parse. The parse sits inside a generator, which Spark never moves a
-    filter below; with a plain projection, a later filter on a parsed field would parse every text
-    once more.
+    ``v`` is there only for texts with a null literal in them, if ``strict`` (no other can hold an explicit null), and for
+    those whose parsed parts look as if one was of a wrong kind (``suspect``); so no other needs the second parse. The parses sit inside
+    generators, which Spark never moves a filter below; with a plain projection, a later filter on a parsed field would parse
+    every text once more.
     """
-    r, v, awards = _parse_columns(df.sparkSession.sparkContext.applicationId, release, strict)
+    r, awards, suspect, v = _parse_columns(df.sparkSession.sparkContext.applicationId, release, strict)
     return (
-        df.select("*", F.explode(F.array(F.struct(r, v))).alias("_p"))
-        .select(*df.columns, "_p.r", "_p.v")
+        df.select("*", F.explode(F.array(r)).alias("r"))
         .select("*", F.explode(F.array(awards)).alias("aw"))
+        .select("*", suspect.alias("suspect"))
+        .select("*", F.explode(F.array(v)).alias("v"))
     )
 
 
 @lru_cache(maxsize=16)
 def _parse_columns(app: str, release: str, strict: bool):
-    v = F.when(F.contains(release, F.lit("null")), F.try_parse_json(release)) if strict else F.lit(None)
+    r, aw = F.col("r"), F.col("aw")
+    wanted = F.col("suspect") | F.contains(release, F.lit("null")) if strict else F.col("suspect")
     return (
-        F.from_json(F.col(release), ocds.RELEASE_SCHEMA).alias("r"),
-        v.alias("v"),
-        F.from_json(F.col("r.awards"), ocds.AWARDS_SCHEMA),
+        F.from_json(F.col(release), ocds.RELEASE_SCHEMA),
+        F.from_json(r["awards"], ocds.AWARDS_SCHEMA),
+        ocds.suspicious(release, r, aw),
+        F.when(wanted, F.try_parse_json(release)),
     )
 
 
@@ -59,7 +62,7 @@ def parse_releases(
     first, second, own, last, flags = _columns(app, release, made_up, config, lenient)
     return (
         with_release(releases.withColumn("_source", src), release, not lenient)
-        .select(*carried, "_source", "r", "aw", "v", *first)
+        .select(*carried, "_source", "r", "aw", "v", "suspect", *first)
         .withColumns(second)
         .withColumn("_own", own)
         .select(*carried, *last)
@@ -83,7 +86,7 @@ def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, len
         ocds.all_documents(r, aw).alias("_docs"),
         ocds.cpv_codes(r).alias("_cpv"),
         ocds.notice_title(r).alias("_title"),
-        ocds.type_reason(release, r, aw).alias("_wrong"),
+        ocds.type_reason(F.col("v"), r, aw).alias("_wrong"),
         F.contains(release, F.lit("null")).alias("_has_null"),
     ]
     second = {
@@ -100,7 +103,8 @@ def _columns(app: str, release: str, made_up: bool, config: RelevanceConfig, len
         nulls = ocds.null_reason(F.col("v"), r, aw, F.col("_period"))
         # A text with a null that the strict parser refuses (a key twice, say) must not pass unchecked.
         unchecked = F.when(F.col("_has_null") & F.col("v").isNull(), "explicit nulls cannot be told")
-        reason = F.coalesce(reason, F.when(F.col("v").isNotNull(), nulls), unchecked)
+        reason = F.coalesce(reason, F.when(F.col("_has_null") & F.col("v").isNotNull(), nulls), unchecked)
+    reason = F.coalesce(reason, F.when(F.col("suspect") & F.col("v").isNull(), "kinds of parts cannot be told"))
     reason = F.coalesce(reason, F.when(F.col("_amount").isNotNull() & amount.isNull(), "amount is no number"))
     published, start, end = F.col("_dates.published"), F.col("_dates.start"), F.col("_dates.end")
     forwards = ~ocds.backwards("_dates")

@@ -359,6 +359,28 @@ def test_parse_happens_once(spark):
         (changed(awards=[{"suppliers": {"name": "x"}}]), "award suppliers is no list"),
         (changed(awards=[{"documents": "x"}]), "award documents is no list"),
         (changed(awards=[{"contractPeriod": "2024"}]), "award contract period is no object"),
+        (tender(items=["x"]), "tender.items element is no object"),
+        (tender(items=[{"id": "1"}, {"classification": "CPV"}]), "tender.items element.classification is no object"),
+        (tender(items=[{"classification": {"scheme": 7, "id": "1"}}]), "tender.items element.classification.scheme is no text"),
+        (tender(items=[{"id": "1"}, {"classification": {"id": "7"}}]), None),
+        (tender(items=""), None),  # nothing is read from it
+        (tender(items={}), None),
+        (tender(documents=["u"]), "tender.documents element is no object"),
+        (tender(title={"en": "AI"}), "tender.title is no text"),
+        (tender(title=["AI"]), "tender.title is no text"),
+        (tender(title=12), "tender.title is no text"),
+        (tender(title="12"), None),
+        (tender(title="{AI}"), None),
+        (tender(description=False), "tender.description is no text"),
+        (tender(classification={"scheme": ["CPV"]}), "tender.classification.scheme is no text"),
+        (changed(date=20240101), "date is no text"),
+        (changed(relatedProcesses=["framework"]), "relatedProcesses element is no object"),
+        (changed(awards=["won"]), "awards element is no object"),
+        (changed(awards=[{"suppliers": ["Acme"]}]), "award supplier is no object"),
+        (changed(awards=[{"suppliers": [{"name": "A", "identifier": "GB-1"}]}]), "supplier identifier is no object"),
+        (changed(awards=[{"suppliers": [{"name": "A"}]}, {"suppliers": [{"name": "B", "identifier": "not read"}]}]), None),
+        (changed(awards=[{"suppliers": []}, {"suppliers": [{"identifier": 5}]}]), "supplier identifier is no object"),
+        (changed(awards=[{"documents": ["u"]}]), "award documents element is no object"),
         (changed(id=0), "no ocid or id"),
         (changed(id="0"), None),
         (changed(id=7), None),
