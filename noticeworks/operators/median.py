@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 _BUCKETS = 4096
 _DIRECT = 100_000
+#: A value of the quantile sketch is at most n / _ACCURACY ranks off.
+_ACCURACY = 10_000
 
 
 def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: int = _DIRECT) -> float | None:
     """Interpolated median of a numeric column, ignoring NULL and NaN; None without values.
 
-    Spark's own ``median`` holds every distinct value in one task. Here the value range is cut into
-    equal buckets, which are only counted; the bucket with the middle rank is cut again until its
+    Spark's own ``median`` holds every distinct value in one task. Here a first scan counts the values and sketches their
+    quantiles: two values a little below and above the middle rank, by more than the sketch can be off. A second scan
+    counts what lies below, between and above, and the values between are ranked: two scans.
+
+    Where more than ``direct`` values may lie between, or infinities have moved the middle, the range is cut into
+    equal buckets instead, which are only counted; the bucket with the middle rank is cut again until its
     values are few enough or all alike. Each pass moves one small row per bucket and task.
     """
     v = df.select(F.col(column).cast("double").alias("v")).filter(
@@ -21,9 +27,11 @@ def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: in
     )
     inf = float("inf")
     finite = F.when(F.abs("v") < inf, F.col("v"))
-    total, n, below, low, high = v.agg(
-        F.count("v"), F.count(finite), F.count_if(F.col("v") == -inf), F.min(finite), F.max(finite)
-    ).first()
+    around = [0.5 - 2 / _ACCURACY, 0.5 + 2 / _ACCURACY]
+    total, n, below, low, high, bounds = v.agg(
+        F.count("v"), F.count(finite), F.count_if(F.col("v") == -inf), F.min(finite), F.max(finite),
+        F.percentile_approx(finite, around, _ACCURACY),
+    ).first()
     if not total:
         return None
     first, last = (total - 1) // 2 + 1, total // 2 + 1  # 1-based ranks of the two middle values
@@ -31,6 +39,11 @@ def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: in
     if ends:  # a middle value is infinite; opposite ends have no middle
         return ends[0] if ends[0] == ends[-1] else float("nan")
     v = v.filter(F.abs("v") < inf)
+    if low != high and 6 * n / _ACCURACY <= direct:  # ranks between the bounds, at most
+        side = F.when(F.col("v") < bounds[0], -inf).when(F.col("v") > bounds[1], inf).otherwise(F.col("v"))
+        a, b = _at_ranks(v.select(side.alias("v")), below, first, last)
+        if abs(a) < inf and abs(b) < inf:
+            return (a + b) / 2
     while low != high and n > direct:
         inside = v.filter(F.col("v").between(low, high))
         # Halved first, so that the width of the widest range does not overflow.
@@ -53,14 +66,17 @@ def exact_median(df: DataFrame, column: str, buckets: int = _BUCKETS, direct: in
             break
     if low == high:
         return low
-    ranked = (
-        v.filter(F.col("v").between(low, high))
-        .groupBy("v")
-        .agg(F.count("v").alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.orderBy("v")) + F.lit(below))
-    )
-    a, b = ranked.agg(
-        F.min(F.when(F.col("upto") >= first, F.col("v"))),
-        F.min(F.when(F.col("upto") >= last, F.col("v"))),
-    ).first()
+    a, b = _at_ranks(v.filter(F.col("v").between(low, high)), below, first, last)
     return (a + b) / 2
+
+
+def _at_ranks(v: DataFrame, below: int, first: int, last: int) -> tuple[float, float]:
+    """The values at two ranks, where ``below`` values come before those of ``v``; equal values travel as one row."""
+    counts = v.groupBy("v").agg(F.count("v").alias("n"))
+    ranked = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")) + F.lit(below))
+    return tuple(
+        ranked.agg(
+            F.min(F.when(F.col("upto") >= first, F.col("v"))),
+            F.min(F.when(F.col("upto") >= last, F.col("v"))),
+        ).first()
+    )

@@ -7,7 +7,9 @@ picking links are Spark expressions over its result.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,56 +41,105 @@ _VOID = frozenset(
 _NO_TEXT = frozenset(("script", "style", "template"))
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children")
+@dataclass(slots=True)
+class _Part:
+    """A paragraph, list or list item: where it begins and ends in what was read so far."""
 
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    tag: str
+    texts: tuple[int, int]
+    hrefs: tuple[int, int]
+    items: tuple[int, int]
+    hidden: int  # unshown elements around it
 
-    def walk(self) -> Iterator[_Node]:
-        stack = [c for c in reversed(self.children) if isinstance(c, _Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
+    def end(self, at: _Reader) -> None:
+        self.texts = (self.texts[0], len(at.texts))
+        self.hrefs = (self.hrefs[0], len(at.hrefs))
+        self.items = (self.items[0], len(at.items))
 
-    def text(self, separator: str) -> str:
-        parts, stack = [], list(reversed(self.children))
-        while stack:
-            c = stack.pop()
-            if isinstance(c, str):
-                if c.strip():
-                    parts.append(c.strip())
-            elif c.tag not in _NO_TEXT:
-                stack.extend(reversed(c.children))
-        return separator.join(parts)
 
+@dataclass(slots=True)
+class _Open:
+    tag: str
+    part: _Part | None
+    section: list[_Part] | None = None  # of the last heading right in this element
 
-class _Tree(HTMLParser):
-    """Nested elements exactly as written: nothing is closed that the markup leaves open."""
+
+class _Reader(HTMLParser):
+    """One pass over nested elements exactly as written: nothing is closed that the markup leaves open.
+
+    Every text, link and list item is kept once, in order; a part knows from where to where it reaches. So what nests as
+    deep as a page is long, or is closed without having been opened, takes no more time than anything else.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", {})
-        self.open = [self.root]
+        self.texts: list[tuple[str, int]] = []  # with the unshown elements around each
+        self.hrefs: list[str] = []
+        self.items: list[_Part] = []
+        self.sections: dict[str, list[_Part]] = {}
+        self.open = [_Open("", None)]
+        self.times: Counter[str] = Counter()  # how often each tag is open
+        self.hidden = 0
+
+    def _begin(self, tag: str, attrs: list[tuple[str, str | None]]) -> _Open:
+        above, given = self.open[-1], dict(attrs)
+        if tag in ("h2", "h3"):
+            above.section = None
+            if tag == "h3" and given.get("id"):
+                above.section = self.sections[given["id"]] = []  # of an id used again, the place stays and the content goes
+        elif tag == "a" and "href" in given:
+            self.hrefs.append(given["href"] or "")
+        part = None
+        if tag == "li" or tag in ("p", "ul") and above.section is not None:
+            here = (len(self.texts),) * 2, (len(self.hrefs),) * 2, (len(self.items),) * 2
+            part = _Part(tag, *here, self.hidden)
+            (self.items if tag == "li" else above.section).append(part)
+        return _Open(tag, part)
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
+        begun = self._begin(tag, attrs)
         if tag not in _VOID:
-            self.open.append(node)
+            self.open.append(begun)
+            self.times[tag] += 1
+            self.hidden += tag in _NO_TEXT
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(_Node(tag, dict(attrs)))
+        self._begin(tag, attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
+        while self.times[tag]:
+            if self._end_last() == tag:
                 return
 
+    def _end_last(self) -> str:
+        last = self.open.pop()
+        self.times[last.tag] -= 1
+        self.hidden -= last.tag in _NO_TEXT
+        if last.part:
+            last.part.end(self)
+        return last.tag
+
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        if data.strip():
+            self.texts.append((data.strip(), self.hidden))
+
+    def close(self):
+        super().close()
+        while len(self.open) > 1:
+            self._end_last()
+
+    def _text(self, part: _Part, separator: str) -> str:
+        return separator.join(t for t, hidden in self.texts[slice(*part.texts)] if hidden == part.hidden)
+
+    def section(self, parts: list[_Part]) -> dict:
+        texts, hrefs = [], []
+        for p in parts:
+            if p.tag == "p":
+                texts.append(self._text(p, " "))
+                hrefs += self.hrefs[slice(*p.hrefs)]
+            else:
+                texts.append(", ".join(self._text(i, "") for i in self.items[slice(*p.items)]))
+        return {"text": " ".join(texts).strip(), "hrefs": hrefs}
 
 
 def read_sections(html: str | None) -> list[dict]:
@@ -99,41 +150,10 @@ def read_sections(html: str | None) -> list[dict]:
     """
     if not html or "<h3" not in html.lower():
         return []
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
-    read: dict[int, dict] = {}
-    for parent in (tree.root, *tree.root.walk()):
-        _read_beside(parent, read)
-    found: dict[str, dict] = {}
-    for node in tree.root.walk():
-        if id(node) in read:
-            found[node.attrs["id"]] = {"id": node.attrs["id"], **read[id(node)]}
-    return list(found.values())
-
-
-def _read_beside(parent: _Node, read: dict[int, dict]) -> None:
-    """Content of every section whose heading is a child of ``parent``, by the heading's identity."""
-    heading, texts, hrefs = None, [], []
-
-    def end() -> None:
-        if heading is not None:
-            read[id(heading)] = {"text": " ".join(texts).strip(), "hrefs": hrefs}
-
-    for s in parent.children:
-        if not isinstance(s, _Node):
-            continue
-        if s.tag in ("h2", "h3"):
-            end()
-            heading, texts, hrefs = (s if s.tag == "h3" and s.attrs.get("id") else None), [], []
-        elif heading is None:
-            continue  # what stands under no section is not gathered: unclosed tags nest as deep as a page is long
-        elif s.tag == "p":
-            texts.append(s.text(" "))
-            hrefs += [a.attrs["href"] or "" for a in s.walk() if a.tag == "a" and "href" in a.attrs]
-        elif s.tag == "ul":
-            texts.append(", ".join(li.text("") for li in s.walk() if li.tag == "li"))
-    end()
+    reader = _Reader()
+    reader.feed(html)
+    reader.close()
+    return [{"id": i, **reader.section(parts)} for i, parts in reader.sections.items()]
 
 
 @F.pandas_udf(SECTIONS)

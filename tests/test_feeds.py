@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 
 import pytest
@@ -261,6 +262,30 @@ def test_section_reader_travels_without_the_package(tmp_path):
     assert done.stdout.strip() == "x", done.stderr
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: '<div><h3 id="a">x</h3><p>y' * n,  # as deep as the page is long
+        lambda n: '<h3 id="a">x</h3>' + "<p>" * n + "</em>" * n,  # end tags of what was never opened
+        lambda n: '<h3 id="a">x</h3>' + "<ul><li>z" * n,
+        lambda n: '<h3 id="a">x</h3><p>' + "<template>y" * n,
+    ],
+)
+def test_deep_nesting_takes_linear_time(page):
+    read_sections(page(500))
+    took = []
+    for n in (4000, 32_000):
+        start = time.perf_counter()
+        read_sections(page(n)) if "<ul>" not in page(1) else read_sections(page(n // 100))  # its text is quadratic: items in items
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * took[0] + 0.2
+
+
+def test_unshown_text_counts_where_it_is_asked_for():
+    html = '<h3 id="a">1</h3><p>x<template>t<p>u</p></template>y</p><template><h3 id="b">2</h3><p>in <script>s</script>it</p></template>'
+    assert [(s["id"], s["text"]) for s in read_sections(html)] == [("a", "x y"), ("b", "in it")]
+
+
 def test_unclosed_paragraphs_take_linear_time():
     import time
 

@@ -223,6 +223,19 @@ def test_exact_median(spark, n, kind):
     assert exact_median(df, "v", buckets=8, direct=3) == exact_median(df, "v") == statistics.median(values)
 
 
+def test_median_takes_two_scans(spark, monkeypatch):
+    """One for counts and bounds, one to rank what lies between; more only where too much lies between."""
+    df = spark.range(20_001).select((F.col("id") * 7919 % 20_011).alias("v"))
+    kind, scans = type(df), []
+    first, collect = kind.first, kind.collect
+    monkeypatch.setattr(kind, "first", lambda self: scans.append(1) or first(self))
+    monkeypatch.setattr(kind, "collect", lambda self: scans.append(1) or collect(self))
+    want = statistics.median(i * 7919 % 20_011 for i in range(20_001))
+    assert exact_median(df, "v", direct=1000) == want and len([1 for _ in scans]) <= 4  # first() collects, too
+    seen = len(scans)
+    assert exact_median(df, "v", buckets=16, direct=5) == want and len(scans) > seen + 4
+
+
 def test_median_of_nothing(spark):
     assert exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None
 
