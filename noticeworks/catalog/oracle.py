@@ -230,10 +230,12 @@ def _month(c: str) -> str:
 def _non_null_counts() -> str:
     made = {"ingested_at": "count(*)", "awards": "count(*) FILTER (WHERE has_awards)",
             "notice_summary": "count(NULL)", "enrichment_version": "count(NULL)"}
-    return f"WITH {NOTICES} " + " UNION ALL ".join(
-        f"SELECT '{f.name}' AS column_name, CAST({made.get(f.name, f'count({f.name})')} AS BIGINT) AS n FROM g"
+    filled = [
+        f"SELECT 'procurement_notices' AS table_name, '{f.name}' AS column_name, CAST({made.get(f.name, f'count({f.name})')} AS BIGINT) AS n FROM g"
         for f in TABLES["procurement_notices"]
-    )
+    ]
+    others = [f"SELECT '{t}', '{f.name}', CAST(0 AS BIGINT)" for t, fields in TABLES.items() if t != "procurement_notices" for f in fields]
+    return f"WITH {NOTICES} " + " UNION ALL ".join([*filled, *others])
 
 
 _WAVES = f"""WITH {NOTICES}, waves AS (
@@ -462,6 +464,10 @@ ORACLE: dict[str, str] = {
     "q_load_questions": f"WITH {QUESTIONS} SELECT question_id, department, date_tabled FROM qsilver",
     "q_load_records": f"WITH {RECORDS} SELECT record_id, organisation_name, sensitive_attributes FROM rc",
     "q_one_table": f"{_WAVES} SELECT notice_id, ai_confidence FROM kept",
+    "q_load_years": f"""WITH {NOTICES}, y AS (SELECT g.*, year(o_orderdate) AS year FROM g JOIN orders o ON o.o_orderkey = g.k)
+        SELECT notice_id, title, stage, ai_confidence FROM y
+        WHERE ai_relevant AND year BETWEEN 1994 AND 1995 AND (source <> 'contracts_finder' OR stage IN ('award', 'tender'))
+        QUALIFY row_number() OVER (PARTITION BY notice_id ORDER BY year, k) = 1""",
     "q_compacted": f"WITH {SILVER} SELECT notice_id, title, 1 AS n_parts FROM silver",
     "q_stream_announcements": f"""WITH {ANNOUNCEMENTS} SELECT announcement_id, ai_confidence FROM ag
         WHERE ai_relevant AND document_type IN ({", ".join(f"'{t}'" for t in fixed.ANNOUNCEMENT_DOCUMENT_TYPES)})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +19,10 @@ from noticeworks.operators import merge, orgs
 from noticeworks.operators.dedup import keep_first
 from noticeworks.operators.median import exact_median
 from noticeworks.plans import explore, export, feed_loads, feeds, gold
-from noticeworks.plans.load import archive_notices, load_archive
+from noticeworks.plans.load import archive_notices, load_archive, load_years
 from noticeworks.plans.notices import good, parse_releases, quarantine
 from noticeworks.plans.store import compact, merge_run, read_manifest, read_runs
-from noticeworks.schemas import TABLES, append_by_name, conform, empty, evolve, read_table
+from noticeworks.schemas import TABLES, append_by_name, conform, create_tables, empty, evolve, read_table
 from noticeworks.session import configure, new_path
 from noticeworks.sources import archives, html, pages, seeds
 from noticeworks.streaming.incremental import merge_batch, start_feed_ingest, start_ingest, stream_id
@@ -259,9 +260,19 @@ def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = conform(notices(spark, sf_dir), TABLES["procurement_notices"])
-    counts = table.agg(*[F.count(c).alias(c) for c in table.columns])
-    return counts.unpivot([], table.columns, "column_name", "n")
+    """The registered tables made, made again (nothing happens), one filled, and read back."""
+    root = new_path(spark, "registry")
+    create_tables(spark, root)
+    path = f"{root}/procurement_notices"
+    conform(notices(spark, sf_dir), TABLES["procurement_notices"]).write.mode("append").parquet(path)
+    if create_tables(spark, root):
+        raise RuntimeError("a table was made twice")
+    found = []
+    for name, schema in TABLES.items():
+        table = read_table(spark, f"{root}/{name}", schema)
+        counts = table.agg(*[F.count(c).alias(c) for c in table.columns])
+        found.append(counts.unpivot([], table.columns, "column_name", "n").select(F.lit(name).alias("table_name"), "column_name", "n"))
+    return functools.reduce(DataFrame.unionAll, found)
 
 
 @query
@@ -817,6 +828,19 @@ def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_runs(spark, f"{root}/table").select("notice_id", "title", "ai_confidence")
 
 
+@query
+def q_load_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives landed by source and year, two of the years loaded: of one source two stages, of the other its default stages."""
+    root = new_path(spark, "years")
+    year = derive.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("_ord"), F.year("o_orderdate").alias("year"))
+    lines = derive.archive_lines(spark, sf_dir).join(year, "_ord").withColumnRenamed("src", "source")
+    archives.land_lines(lines.repartitionByRange("_ord").sortWithinPartitions("source", "year", "_ord"), f"{root}/landed")
+    for source in BOTH:
+        stages = ["award", "tender"] if source == fixed.CONTRACTS_FINDER else None
+        load_years(spark, f"{root}/landed", f"{root}/table", source, 1994, 1995, stages)
+    return read_runs(spark, f"{root}/table").select("notice_id", "title", "stage", "ai_confidence")
+
+
 @query
 def q_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads and streams of both sources into one table, with parts put together in between, a fresh checkpoint, a repeated

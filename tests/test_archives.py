@@ -10,9 +10,9 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from noticeworks.functions.relevance import RelevanceConfig
-from noticeworks.plans.load import load_archive
+from noticeworks.plans.load import load_archive, load_years
 from noticeworks.schemas import TABLES, read_table
-from noticeworks.sources.archives import normalise_packages, read_lines, split_lines, unpack_lines
+from noticeworks.sources.archives import land_lines, normalise_packages, read_landed, read_lines, split_lines, unpack_lines
 from noticeworks.plans.store import read_runs, write_run
 from noticeworks.streaming.incremental import merge_batch, start_ingest
 
@@ -200,3 +200,23 @@ def test_bare_nan_is_read_once(spark):
     assert [r["reason"] for r in split_lines(df)[1].collect()] == ["malformed"]
     assert normalise_packages(df).count() == 2
     assert sorted((r["_ord"], r["line_reason"]) for r in unpack_lines(df).collect()) == [(0, None), (1, None), (2, "malformed")]
+
+
+def test_years_and_stages_of_a_load(spark, tmp_path):
+    """Files of other years are not listed, releases of other stages are left out before the first occurrence is taken."""
+    rows = []
+    for year in range(2019, 2024):
+        for source in ("contracts_finder", "find_a_tender"):
+            rows.append((json.dumps({**release(f"{source}-{year}"), "tag": ["tender"]}), source, year))
+            rows.append((json.dumps({**release("again", f"AI {year}"), "tag": ["award" if year > 2020 else "odd"]}), source, year))
+    root = str(tmp_path / "landed")
+    land_lines(spark.createDataFrame(rows, "line string, source string, year int").coalesce(1), root)
+    plan = read_landed(spark, root, "contracts_finder", 2020, 2021)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "= contracts_finder)" in filters and ">= 2020)" in filters
+    assert load_years(spark, root, str(tmp_path / "t"), "contracts_finder", 2020, 2021) == 3
+    assert stored(spark, str(tmp_path / "t")) == [
+        ("again::r1", "AI 2021"), ("contracts_finder-2020::r1", "AI service"), ("contracts_finder-2021::r1", "AI service"),
+    ]
+    assert load_years(spark, root, str(tmp_path / "u"), "contracts_finder", None, 2019, stages=["award"]) == 0
+    assert load_years(spark, root, str(tmp_path / "v"), "find_a_tender") == 6  # all years, all stages
