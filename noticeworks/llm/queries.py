@@ -59,6 +59,8 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, pii.BASE),
         F.sha2(joined("base_spans").cast("binary"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        (F.size("spans") - F.size("base_spans")).cast("long").alias("n_added"),
     )
 
 

@@ -188,7 +188,8 @@ def test_personal_data_query(spark):
         joined = [f"{k}:{a}:{b}" for k, a, b in want]
         assert r["base_sha256"] == hashlib.sha256(",".join(joined).encode()).hexdigest()
         assert [r[f"n_{k}"] for k in pii.BASE] == [sum(x[0] == k for x in want) for k in pii.BASE]
-        assert set(joined) <= set(r["spans"].split(",")) | {""}
+        spans = [x for x in r["spans"].split(",") if x]
+        assert set(joined) <= set(spans) and (r["n_spans"], r["n_added"]) == (len(spans), len(spans) - len(joined))
 
 
 # --- languages --------------------------------------------------------------------------------------
