@@ -45,6 +45,12 @@ def ids(spark, *objects):
         ("[1,2]", []),
         ("5", []),
         ({"records": None, "ocid": "x"}, []),
+        ({"records": None, "releases": [release("b", id="5")]}, []),
+        ({"releases": None, "compiledRelease": {"ocid": "c", "id": "no"}}, []),
+        ({"releases": [{**release("b", id="7"), "note": 'has "records" in it'}]}, ["7"]),
+        ({"releases": [{**release("b", id="8"), "records": 1}]}, ["8"]),
+        ('{"releases": [{"ocid": "a", "id": "1"}]', []),
+        ('{"ocid": "a", "id": "1", "x": }', []),
     ],
 )
 def test_package_shapes(spark, line, expected):
@@ -76,6 +82,11 @@ def test_lines_that_cannot_be_unpacked_are_set_aside(spark):
     assert ok.count() == 3 and normalise_packages(ok).count() == 0
 
 
+def test_keys_are_listed_only_where_parts_do_not_tell(spark):
+    plan = unpack_lines(spark.createDataFrame([("{}",)], "line string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField(ocid") == 1 and plan.count("json_object_keys") <= 1
+
+
 def test_line_order_survives_splits_and_shuffles(spark, tmp_path):
     path = write(tmp_path / "big.jsonl", [f'{{"ocid":"o{i}"}}' for i in range(20000)])
     size = "65536"
