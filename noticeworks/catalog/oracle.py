@@ -285,6 +285,9 @@ ORACLE: dict[str, str] = {
         md5(CASE WHEN page_id % 5 = 0 THEN 'again ' || html ELSE html END) AS body_md5 FROM pages""",
     "q_export_by_year": f"""WITH {DEDUP} SELECT notice_id,
         coalesce(CAST(year(published_date) AS VARCHAR), 'unknown') AS year FROM dd""",
+    "q_export_new": f"""WITH {DEDUP} SELECT notice_id, title,
+        coalesce(CAST(year(published_date) AS VARCHAR), 'unknown') AS year FROM dd""",
+    "q_dedup_stored": f"WITH {DEDUP} SELECT notice_id, source, title, has_awards FROM dd",
     "q_export_counts": f"""WITH {_GAP}, {ANNOUNCEMENTS.removeprefix(f"dc AS ({DOC_SQL}),")},
         {QUESTIONS}, {ZONES}
         SELECT 'procurement_notices' AS relation, CAST(count(*) AS BIGINT) AS n FROM dd

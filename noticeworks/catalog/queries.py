@@ -252,6 +252,31 @@ def q_export_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.read_by_year(spark, path, TABLES["procurement_notices"]).select("notice_id", "year")
 
 
+@query
+def q_export_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of notices, by year of publication, into a stored table, parts put together in between; an export after
+    each rewrites the years that the run touches."""
+    root = new_path(spark, "refreshed")
+    silver_notices(spark, sf_dir).write.parquet(f"{root}/batch")
+    batch = spark.read.parquet(f"{root}/batch")
+    day = F.coalesce(F.year("published_date"), F.lit(0))
+    for k, wave in enumerate((day.between(1, 1996), day == 1997, (day < 1) | (day > 1997))):
+        merge_run(batch.filter(wave), f"{root}/table", f"run-{k}")
+        if k == 1:
+            compact(spark, f"{root}/table")
+        export.export_new(spark, f"{root}/table", f"{root}/by-year")
+    return export.read_by_year(spark, f"{root}/by-year", TABLES["procurement_notices"]).select("notice_id", "title", "year")
+
+
+@query
+def q_dedup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The richest notices of a stored table: winners from narrow rows, texts looked up."""
+    path = new_path(spark, "stored")
+    merge_run(silver_notices(spark, sf_dir), path, "all")
+    kept = gold.stored_dedup(read_runs(spark, path))
+    return kept.select("notice_id", "source", "title", F.col("awards").isNotNull().alias("has_awards"))
+
+
 @query
 def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = export.export_gold(spark, silver_tables(spark, sf_dir), new_path(spark, "gold"))

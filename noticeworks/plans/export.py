@@ -14,8 +14,12 @@ from pyspark.sql.types import (
 )
 
 from noticeworks.functions.text import version_label
+from noticeworks.operators.dedup import dedup_richest, dedup_stored, richest_group
+from noticeworks.operators.lookup import measured
 from noticeworks.plans import gold
+from noticeworks.plans.store import Manifest, changed_rows, delete, read_manifest, read_text, visible, write_text
 from noticeworks.schemas import TABLES, read_table
+from noticeworks.session import new_path
 
 UNKNOWN_YEAR = "unknown"
 
@@ -50,6 +54,69 @@ def read_by_year(spark: SparkSession, path: str, schema: StructType) -> DataFram
     ).parquet(path)
 
 
+def _in_groups(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+    """Rows whose group is, or with ``left_anti`` is not, among ``groups`` (written); missing parts of a key are equal."""
+    names = [f"_own{c}" for c in groups.columns]
+    own = rows.select("*", *(c.alias(n) for c, n in zip(richest_group(), names, strict=True)))
+    same = [F.col(n).eqNullSafe(F.col(c)) for c, n in zip(groups.columns, names, strict=True)]
+    return own.join(measured(groups), same, how).drop(*names)
+
+
+#: Beside the exported years: the stored version they show, or nothing while they are being replaced.
+LAST_EXPORT = "_last_export.json"
+
+
+def export_new(spark: SparkSession, store: str, path: str, rows_per_file: int = 5_000_000) -> list[str]:
+    """Bring the richest notices under ``path``, a folder per year, up to date with the stored table; the years rewritten.
+
+    Of the rows that runs brought or took since the last export, the groups are formed anew: a richer notice may take the
+    place of one of another year. Years in which such a group has, or had, its notice are rewritten, other years' files
+    are not touched. The first export, one after an export that was broken off, and one that cannot tell what went
+    (its files are deleted) write all years.
+    """
+    last = read_text(spark, f"{path}/{LAST_EXPORT}")
+    now, changed = read_manifest(spark, store), None
+    if last:
+        now, changed = changed_rows(spark, store, Manifest.from_json(last))
+    schema = TABLES["procurement_notices"]
+    relevant = visible(spark, store, now, "procurement_notices").filter("ai_relevant").select(*schema.names)
+    if changed is None:
+        write_by_year(dedup_stored(relevant), path, rows_per_file=rows_per_file)
+        years = {r[0] for r in read_by_year(spark, path, schema).select("year").distinct().collect()}  # as many as years
+    else:
+        years = _rewrite(spark, relevant, changed, path, rows_per_file)
+    write_text(spark, f"{path}/{LAST_EXPORT}", now.to_json())
+    return sorted(years)
+
+
+def _rewrite(spark: SparkSession, relevant: DataFrame, changed: DataFrame, path: str, rows_per_file: int) -> set[str]:
+    staged = new_path(spark, "groups")
+    changed.filter("ai_relevant").select(*richest_group()).distinct().write.parquet(staged)
+    groups = spark.read.parquet(staged)
+    exported = read_by_year(spark, path, TABLES["procurement_notices"])
+    staged = new_path(spark, "winners")
+    with_year(dedup_richest(_in_groups(relevant, groups, "left_semi"))).write.parquet(staged)
+    winners = spark.read.parquet(staged)
+    years = {r[0] for r in _in_groups(exported, groups, "left_semi").select("year").union(winners.select("year")).distinct().collect()}
+    if not years:
+        return years
+    rows = _in_groups(exported.filter(F.col("year").isin(*years)), groups, "left_anti").unionByName(winners)
+    seen = Observation()
+    rows = rows.observe(seen, F.collect_set("year").alias("years"), F.count(F.lit(1)).alias("n"))
+    write_text(spark, f"{path}/{LAST_EXPORT}", "")  # until the years are in place, nobody knows what they show
+    (
+        rows.hint("rebalance", F.col("year"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("year")
+        .parquet(path)
+    )
+    for year in years - set(seen.get["years"]):  # the only notice of a year may have given way to one of another
+        delete(spark, f"{path}/year={year}")
+    return years
+
+
 # Exported relations whose columns are not those of a table. Months are plain timestamps.
 _MONTH = StructField("month", TimestampNTZType())
 VIEW_SCHEMAS = {

@@ -18,7 +18,7 @@ from noticeworks.operators.merge import merge_insert_only
 from noticeworks.plans import feeds
 from noticeworks.plans.gold import run_count_columns
 from noticeworks.plans.notices import good
-from noticeworks.plans.store import _delete, merge_run, new_run, write_run
+from noticeworks.plans.store import delete, merge_run, new_run, write_run
 from noticeworks.schemas import KEYS, empty
 from noticeworks.session import new_path
 from noticeworks.sources.pages import candidate_filter, explode_items, read_pages, run_order
@@ -86,7 +86,7 @@ def load_pages(
     if quarantine_path:
         bad = parsed.filter("reason IS NOT NULL")
         write_run(bad.select(F.col("page").alias("file"), "text", "reason"), quarantine_path, run)
-    _delete(spark, staged)
+    delete(spark, staged)
     return added
 
 

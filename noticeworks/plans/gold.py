@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.functions.text import alias_key, month_of
-from noticeworks.operators.dedup import dedup_richest
+from noticeworks.operators.dedup import dedup_richest, dedup_stored
 from noticeworks.operators.orgs import AliasPolicy, alias_lookup
 
 
@@ -15,6 +15,11 @@ def procurement_dedup(notices: DataFrame) -> DataFrame:
     return dedup_richest(notices.filter("ai_relevant"))
 
 
+def stored_dedup(notices: DataFrame) -> DataFrame:
+    """The same of a stored table, whose texts it does not shuffle where one side of the look-up is small."""
+    return dedup_stored(notices.filter("ai_relevant"))
+
+
 def reporting_gap(dedup: DataFrame, records: DataFrame, aliases: DataFrame) -> DataFrame:
     """Per canonical organisation: distinct notices bought against distinct records registered.
 

@@ -1,0 +1,113 @@
+"""Exports that follow a stored table, and its richest notices without a shuffle of texts."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticeworks.operators import dedup
+from noticeworks.plans import export, gold, store
+from noticeworks.schemas import TABLES, conform
+
+NAMES = "notice_id string, source string, title string, buyer_name string, value_amount double, awards string, published_date string, ai_relevant boolean"
+
+
+def notices(spark, *rows):
+    """Rows (id, title, date, has awards) of one buyer and value."""
+    rows = [(i, "s", t, "B", 1.0, "[]" if a else None, d, True) for i, t, d, a in rows]
+    return conform(spark.createDataFrame(rows, NAMES), TABLES["procurement_notices"])
+
+
+def shown(spark, path):
+    rows = export.read_by_year(spark, path, TABLES["procurement_notices"]).collect()
+    return sorted((r["notice_id"], r["year"]) for r in rows)
+
+
+def files(path):
+    return {y: sorted(f for f in os.listdir(f"{path}/{y}") if f.startswith("part")) for y in os.listdir(path) if y.startswith("year=")}
+
+
+def test_only_touched_years_are_rewritten(spark, tmp_path):
+    table, out = str(tmp_path / "t"), str(tmp_path / "out")
+    store.merge_run(notices(spark, ("a", "one", "2021-01-01", False), ("b", "two", "2022-01-01", False), ("c", "three", None, False)), table, "first")
+    assert export.export_new(spark, table, out) == ["2021", "2022", "unknown"]
+    before = files(out)
+    store.merge_run(notices(spark, ("d", "four", "2022-05-01", False)), table, "second")
+    assert export.export_new(spark, table, out) == ["2022"]
+    after = files(out)
+    assert {y for y in after if after[y] != before[y]} == {"year=2022"}
+    assert shown(spark, out) == [("a", "2021"), ("b", "2022"), ("c", "unknown"), ("d", "2022")]
+    assert export.export_new(spark, table, out) == []
+    assert store.compact(spark, table)
+    assert export.export_new(spark, table, out) == [] and files(out) == after
+
+
+def test_winner_of_another_year(spark, tmp_path):
+    table, out = str(tmp_path / "t"), str(tmp_path / "out")
+    store.merge_run(notices(spark, ("a", "one", "2021-01-01", False), ("b", "two", "2022-01-01", False)), table, "first")
+    export.export_new(spark, table, out)
+    store.merge_run(notices(spark, ("z", "One!", "2023-01-01", True)), table, "second")
+    assert export.export_new(spark, table, out) == ["2021", "2023"]
+    assert shown(spark, out) == [("b", "2022"), ("z", "2023")]
+    assert set(files(out)) == {"year=2022", "year=2023"}
+    store.merge_run(notices(spark, ("y", "other", "2024-01-01", True)), table, "second")  # takes back what it had brought
+    assert export.export_new(spark, table, out) == ["2021", "2023", "2024"]
+    assert shown(spark, out) == [("a", "2021"), ("b", "2022"), ("y", "2024")]
+
+
+def test_all_years_after_an_export_broken_off_or_files_deleted(spark, tmp_path):
+    table, out = str(tmp_path / "t"), str(tmp_path / "out")
+    store.merge_run(notices(spark, ("a", "one", "2021-01-01", False)), table, "first")
+    export.export_new(spark, table, out)
+    store.write_text(spark, f"{out}/{export.LAST_EXPORT}", "")
+    assert export.export_new(spark, table, out) == ["2021"]
+    store.merge_run(notices(spark, ("b", "two", "2022-01-01", False)), table, "first")
+    store.vacuum(spark, table, older_than_s=0)
+    assert export.export_new(spark, table, out) == ["2022"]
+    assert shown(spark, out) == [("b", "2022")]
+
+
+def test_empty_table_and_nothing_relevant(spark, tmp_path):
+    table, out = str(tmp_path / "t"), str(tmp_path / "out")
+    store.merge_run(notices(spark, ("a", "one", "2021-01-01", False)).filter("false"), table, "none")
+    assert export.export_new(spark, table, out) == [] and shown(spark, out) == []
+    store.merge_run(notices(spark, ("a", "one", "2021-01-01", False)).withColumn("ai_relevant", F.lit(False)), table, "off")
+    assert export.export_new(spark, table, out) == [] and shown(spark, out) == []
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_many_runs_equal_a_full_export(spark, tmp_path, seed):
+    table, out, full, r = str(tmp_path / "t"), str(tmp_path / "out"), str(tmp_path / "full"), random.Random(seed)
+    for k in range(4):
+        days = [None, "2021-01-01", "2022-01-01", "2023-01-01"]
+        rows = [(f"{k % 3}-{i}", r.choice("abcdef"), r.choice(days), r.random() < 0.3) for i in range(12)]
+        store.merge_run(notices(spark, *rows), table, f"run{k % 3}")  # the last one replaces the first
+        export.export_new(spark, table, out)
+        if k == 1:
+            store.compact(spark, table)
+    export.write_by_year(gold.procurement_dedup(store.read_runs(spark, table).drop("run")), full)
+    assert shown(spark, out) == shown(spark, full) != []
+
+
+@pytest.mark.parametrize("small", ["winners", "losers", "neither"])
+def test_richest_of_a_stored_table(spark, tmp_path, monkeypatch, small):
+    r = random.Random(3)
+    rows = [(f"{i}", r.choice("abcdefghij") * 60, r.choice([None, "2021-01-01", "2022-01-01"]), r.random() < 0.3) for i in range(200)]
+    path = str(tmp_path / "t")
+    store.merge_run(notices(spark, *rows), path, "all")
+    stored = store.read_runs(spark, path)
+    monkeypatch.setattr(dedup, "is_small", lambda df: ("richest" if small == "winners" else "poorer" if small == "losers" else "none") in df.inputFiles()[0])
+    got = gold.stored_dedup(stored)
+    assert sorted(got.select("notice_id").collect()) == sorted(gold.procurement_dedup(stored).select("notice_id").collect())
+    assert got.columns == stored.columns
+    if small != "neither":
+        got.collect()
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    winners = dedup.richest_ids(stored)._jdf.queryExecution().executedPlan().toString()
+    exchange = next(x for x in winners.splitlines() if "Exchange hashpartitioning" in x)
+    below = winners.split(exchange, 1)[1]
+    project = next(x for x in below.splitlines() if "Project" in x)
+    assert "_has_awards" in project and "isnotnull(awards" in project and "raw_json" not in winners
