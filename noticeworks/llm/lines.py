@@ -9,12 +9,13 @@ lines that make pairs; no count of documents or holders is limited.
 
 Shared lines of a document may have several holders though another document has them all in a row. So every shortest run of
 neighbouring shared lines that makes a block, from its first line on or back from its last, is looked up as well, by the hash of
-its lines: the first document that has it has it whole. Such runs cover all blocks of whole lines that an earlier document
-has, whatever lines are repeated in them and whoever holds each line.
+its lines: the first document that has it has it whole and becomes a further partner, whose pair is aligned like any other. Such
+runs cover all blocks of whole lines that an earlier document has, whatever lines are repeated in them and whoever holds each line.
 
 In a pair, the shared lines that occur once in both are aligned by patience (longest increasing run of positions)
-and grown into blocks of neighbours; what is left is aligned again until no block is found. Blocks of
-``BLOCK`` words and more are deleted from the later document, with neighbouring lines that other holders have.
+and grown into blocks of neighbours; what is left is aligned again until no block is found, and repeated lines in one pass at
+the end, so that a text of many equal lines takes no longer than another. Blocks of ``BLOCK`` words and more are deleted from the
+later document; nothing is that no pair has aligned.
 
 Defined results: rows of one id are never compared with each other; a row without an id is later than all others and never a
 holder; fully equal rows get equal results; null and empty texts stay as they are; an empty table gives an
@@ -37,6 +38,8 @@ from noticeworks.llm.tokens import Words, mix, runs
 
 #: Fewest words of a block that is deleted, and how many words on each side a cut looks at.
 BLOCK, REACH = 20, 4
+#: How often what is left of a pair is aligned again before its blocks are taken by their neighbours alone.
+ROUNDS = 16
 
 
 def cut(words: Words, hashes: np.ndarray) -> np.ndarray:
@@ -108,34 +111,41 @@ def patience(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def align(shared: list[tuple[int, int, int]], least: int = BLOCK) -> list[tuple[int, int]]:
-    """Blocks (first line, end line) of a document from its lines (place, place in the holder, words)."""
-    weight = {p: n for p, _, n in shared}
-    held = {p: h for p, h, _ in shared}
-    left = set(weight)
-    blocks = []
-    while left:
-        here = sorted((p, held[p]) for p in left)
-        times = Counter(h for _, h in here)
-        anchors = patience([(p, h) for p, h in here if times[h] == 1]) or here[:1]
-        found = False
-        used: set[int] = set()
-        for p, h in anchors:
-            if p in used:
-                continue
-            a = b = p
-            while a - 1 in left and a - 1 not in used and held[a - 1] == held[a] - 1:
-                a -= 1
-            while b + 1 in left and b + 1 not in used and held[b + 1] == held[b] + 1:
-                b += 1
-            used.update(range(a, b + 1))
-            if sum(weight[x] for x in range(a, b + 1)) >= least:
-                blocks.append((a, b + 1))
-                found = True
-        left -= used
-        if not found and len(anchors) <= 1 and not any(times[h] > 1 for _, h in here):
+def align(shared: Iterable[tuple[int, int, int]], least: int = BLOCK) -> list[tuple[int, int]]:
+    """Blocks (first line, end line) of a document from its lines (place, place in the holder, words).
+
+    A line may have several places in the holder. Anchors are the lines left that stand once in both; the longest
+    run of them that increases in both is grown, each anchor by the neighbours that follow it in both. What is left is
+    aligned again, ``ROUNDS`` times at most; lines that never stand alone, and blocks in yet another order, are then taken
+    by their neighbours alone, all in one pass.
+    """
+    pairs = np.array(sorted(set(shared), key=lambda x: (x[1] - x[0], x[0])), np.int64).reshape(-1, 3)
+    if not len(pairs):
+        return []
+    place, held, n = pairs.T
+    begins = np.concatenate(([True], (np.diff(held - place) != 0) | (np.diff(place) != 1)))
+    first = np.flatnonzero(begins)
+    run = np.cumsum(begins) - 1  # lines in a row in both
+    left = (np.add.reduceat(n, first) >= least)[run]
+    starts, ends = place[first], place[np.append(first[1:], len(place)) - 1] + 1
+    blocks: set[int] = set()
+    for _ in range(ROUNDS):
+        at = np.flatnonzero(left)
+        once = at[_stands_once(place[at]) & _stands_once(held[at])]
+        once = once[np.argsort(place[once])]
+        of = dict(zip(place[once].tolist(), run[once].tolist(), strict=True))
+        found = {of[p] for p, _ in patience(list(zip(place[once].tolist(), held[once].tolist(), strict=True)))}
+        if not found:
             break
-    return sorted(blocks)
+        blocks |= found
+        left &= ~np.isin(place, place[np.isin(run, list(found))])
+    blocks |= set(run[left].tolist())
+    return sorted((int(starts[k]), int(ends[k])) for k in blocks)
+
+
+def _stands_once(values: np.ndarray) -> np.ndarray:
+    _, of, times = np.unique(values, return_inverse=True, return_counts=True)
+    return times[of] == 1
 
 
 def least_runs(stretch: np.ndarray, n: np.ndarray, least: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -183,12 +193,16 @@ def _runs(shared: DataFrame, least: int) -> DataFrame:
 
 
 def _runs_of_earlier(shared: DataFrame, least: int) -> DataFrame:
-    """(rid, rth, runs) of the texts with runs that a document of lesser id has as well."""
+    """(rid, rth, runs) of the texts with runs that a document of lesser id has as well: from line a to b, which that
+    holder (wid, wth) has from its line ``at`` on."""
     every = written(_runs(shared, least), "runs")
-    first = every.groupBy("w").agg(F.min("id").alias("wid"), F.count("*").alias("times"))
-    first = first.filter("times > 1 AND wid IS NOT NULL").drop("times").hint("shuffle_hash")  # a row a run: even
-    later = every.join(first, "w").filter("id IS NULL OR id > wid")
-    return later.groupBy(F.col("id").alias("rid"), F.col("th").alias("rth")).agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+    own = F.struct(F.col("id").alias("wid"), F.col("th").alias("wth"), F.col("a").alias("at"))
+    first = every.groupBy("w").agg(F.min(F.when(F.col("id").isNotNull(), own)).alias("h"), F.count("*").alias("times"))
+    # Written, as a join in the stage of its aggregate is never split where one run is hot.
+    first = written(first.filter("times > 1 AND h IS NOT NULL").select("w", "h"), "first-runs").hint("shuffle_hash")  # a row a run: even
+    later = every.join(first, "w").filter("id IS NULL OR id > h.wid")
+    found = F.collect_set(F.struct("a", "b", "h.wid", "h.wth", "h.at"))
+    return later.groupBy(F.col("id").alias("rid"), F.col("th").alias("rth")).agg(found.alias("runs"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -217,25 +231,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, th long, line int, u long, n int")
 
 
-def blocks_of(shared: list[tuple[int, object, int, int]], least: int = BLOCK, further: Iterable[tuple[int, int]] = ()) -> list[tuple[int, int]]:
-    """Blocks of a document from its lines (place, holder, place in the holder, words) and ``further`` blocks.
+def blocks_of(
+    shared: list[tuple[int, object, int, int]], least: int = BLOCK, further: Iterable[tuple[int, int, object, int]] = ()
+) -> list[tuple[int, int]]:
+    """Blocks of a document from its lines (place, holder, place in the holder, words), each holder aligned by itself.
 
-    Each holder is aligned by itself; a block then takes in the neighbouring lines that other holders have.
+    ``further`` are runs (first line, end line, holder, its first line there), which name further partners and further places.
     """
-    pairs: dict[object, list[tuple[int, int, int]]] = {}
+    words = {place: n for place, _, _, n in shared}
+    pairs: dict[object, set[tuple[int, int, int]]] = {}
     for place, holder, held, n in shared:
-        pairs.setdefault(holder, []).append((place, held, n))
+        pairs.setdefault(holder, set()).add((place, held, n))
+    for a, b, holder, at in further:
+        pairs.setdefault(holder, set()).update((p, at + p - a, words[p]) for p in range(a, b))
     found = [b for pair in pairs.values() if sum(n for *_, n in pair) >= least for b in align(pair, least)]
-    places = {place for place, *_ in shared}
     out: list[tuple[int, int]] = []
-    for a, b in sorted([*found, *further]):
-        if out and b <= out[-1][1]:
-            continue
-        while a - 1 in places:
-            a -= 1
-        while b in places:
-            b += 1
-        if not out or a > out[-1][1]:
+    for a, b in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
             out.append((a, b))
     return out
 
@@ -246,7 +260,8 @@ def _aligned(docs: DataFrame, least: int) -> DataFrame:
             blocks = []
             for s, r in zip(batch.column(2), batch.column(3), strict=True):
                 lines = [(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()]
-                blocks.append(blocks_of(lines, least, [(x["a"], x["b"]) for x in r.as_py() or ()]))
+                further = [(x["a"], x["b"], (x["wid"], x["wth"]), x["at"]) for x in r.as_py() or ()]
+                blocks.append(blocks_of(lines, least, further))
             spans = pa.array([[{"a": a, "b": b} for a, b in x] for x in blocks], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["id", "th", "spans"])
 
@@ -261,12 +276,12 @@ def common_blocks(docs: DataFrame, least: int = BLOCK) -> DataFrame:
     """
     lines = written(_lines(docs), "lines")
     holder = lines.groupBy("u").agg(F.min("id").alias("hid"), F.count("*").alias("times"))
-    holder = holder.filter("times > 1 AND hid IS NOT NULL").drop("times").hint("shuffle_hash")  # a row a line: even
+    # Written, as are other aggregates before a join: in the stage of its aggregate a join's hot key is never split.
+    holder = written(holder.filter("times > 1 AND hid IS NOT NULL").drop("times"), "holders").hint("shuffle_hash")  # a row a line: even
     shared = written(lines.join(holder, "u"), "shared-lines")
     delete_written(lines)
-    held = shared.filter("id = hid").groupBy("u").agg(F.min("th").alias("hth"))
-    held = shared.filter("id = hid").join(held.withColumnRenamed("u", "hu"), F.expr("u = hu AND th = hth"))
-    held = held.groupBy("u", "hth").agg(F.min("line").alias("held"))
+    held = shared.filter("id = hid").groupBy("u").agg(F.min(F.struct("th", "line")).alias("h"))
+    held = written(held.select("u", F.col("h.th").alias("hth"), F.col("h.line").alias("held")), "held-lines").hint("shuffle_hash")  # a row a line: even
     later = shared.filter("id IS NULL OR id > hid").join(held, "u")
     item = F.struct("line", "hid", "hth", "held", "n")
     docs = later.groupBy("id", "th").agg(F.collect_set(item).alias("shared"), F.sum("n").alias("words"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import string
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -135,6 +136,37 @@ def test_blocks():
     assert lines.align(twice) == [(0, 1), (3, 4)]
 
 
+def test_blocks_come_from_aligned_pairs_only():
+    block = [(k, "x", k + 5, 10) for k in range(3)]
+    near = [(3, "y", 0, 4), (4, "z", 7, 4)]  # short lines beside it that others hold
+    assert lines.blocks_of([*block, *near]) == [(0, 3)]
+    assert lines.blocks_of([(k, k, 0, 8) for k in range(4)]) == []
+    assert lines.blocks_of([(k, k, 0, 8) for k in range(4)], further=[(0, 3, "w", 20), (1, 4, "w", 21)]) == [(0, 4)]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_alignment_finds_every_common_block(seed):
+    """Lines that repeat in both texts: all places in a row in both, 20 words or more, are found, and nothing else."""
+    rng = random.Random(seed)
+    a, b = ([rng.randrange(9) for _ in range(30)] for _ in range(2))
+    pairs = {(p, h, 6) for p in range(30) for h in range(30) if a[p] == b[h]}
+    want = {p + i for p in range(27) for h in range(27) if a[p : p + 4] == b[h : h + 4] for i in range(4)}
+    got = {x for p, q in lines.align(pairs) for x in range(p, q)}
+    assert want >= got
+    for p, q in lines.align(pairs):
+        assert any(a[p:q] == b[h : h + q - p] for h in range(30))
+    alone = {x for x in want if sum(1 for p, _, _ in pairs if p == x) == 1}
+    assert alone <= got
+
+
+def test_many_equal_lines_take_seconds():
+    start = time.monotonic()
+    assert lines.blocks_of([(k, 1, 0, 25) for k in range(100_000)]) == [(0, 100_000)]
+    back = [(k, 1, 100_000 - 2 * k, 25) for k in range(50_000)]  # every block in another order
+    assert lines.blocks_of(back) == [(0, 50_000)]
+    assert time.monotonic() - start < 20
+
+
 def planted(rng: random.Random) -> dict[int, str]:
     passage, other = " ".join(words(rng, 60)), "\n".join(" ".join(words(rng, 9)) for _ in range(8))
     docs = {i: "\n".join(" ".join(words(rng, rng.randint(3, 60))) for _ in range(6)) for i in range(40)}
