@@ -8,30 +8,38 @@ from pyspark.sql import functions as F
 from noticeworks.llm.common import delete_written, written
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
-    """Pairs (u, v) with ``m``, the least of u and its partners."""
-    least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return pairs.join(least, "u")
+def _with_least(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (u, v) with ``m``, the least of u and its partners; and the working table behind it.
+
+    The least ones are written: a join in the stage of its aggregate is never split, however hot one key is.
+    """
+    least = written(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+    return pairs.join(least, "u"), least
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked, least = _with_least(both)
+    out = written(linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+    delete_written(least)
+    return out
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Expects u > v in every row, as the large star gives them."""
-    linked = _with_least(links)
+    linked, least = _with_least(links)
     moved = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(linked.select("u", F.col("m").alias("v")))
+    out = written(moved.union(linked.select("u", F.col("m").alias("v"))).distinct(), "links")
+    delete_written(least)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (two columns of one type); the root is the least node.
 
-    Each round is written to the shared folder and the one before deleted. A hub is one key with many
-    rows: its least partner is found with partial aggregation, and the join on it is left to adaptive
-    execution to split. Null ends and loops are no links.
+    Each step is written to the shared folder and the one before deleted. A hub is one key with many
+    rows: its least partner is found with partial aggregation and written, and both sides of the join on it are
+    shuffled for it alone, so that adaptive execution can split it. Null ends and loops are no links.
     """
     a, b = links.columns
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a) != F.col(b))
@@ -43,5 +51,7 @@ def components(links: DataFrame) -> DataFrame:
                 links.select("v", "v").distinct()
             )
         old, before = links, state
-        links = written(_small_star(_large_star(links).distinct()).distinct(), "links")
+        star = _large_star(links)
+        links = _small_star(star)
         delete_written(old)
+        delete_written(star)

@@ -154,7 +154,8 @@ def near_links(nodes: DataFrame, radius: int = 2, groups: int = 4, cell: int = C
         raise ValueError("more groups than differing bits are needed")
     nodes = nodes.select("fp")
     cells = written(_cells(nodes, popcounts(F.col("fp")), _masks(groups, radius)), "cells")
-    sizes = cells.groupBy("cell").count().filter("count > 1")
+    # Sizes are written before they are joined, so that the join's hot cells can be split.
+    sizes = written(cells.groupBy("cell").count().filter("count > 1"), "cell-sizes")
     shared = cells.join(sizes, "cell")
     small = shared.filter(F.col("count") <= cell).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     crowded = shared.filter(F.col("count") > cell).select("fp").distinct()
@@ -162,6 +163,7 @@ def near_links(nodes: DataFrame, radius: int = 2, groups: int = 4, cell: int = C
     fine = fine.groupBy("cell").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
     links = written(_linked(small.select("fps").union(fine.select("fps")), radius), "near-links")
     delete_written(cells)
+    delete_written(sizes)
     return links
 
 
@@ -178,8 +180,9 @@ def near_copies(prints: DataFrame, radius: int = 2, groups: int = 4, cell: int =
     """
     id_ = prints.columns[0]
     least = prints.groupBy("fp").agg(F.min(id_).alias(OWN + "least"))
-    linked = roots(prints, radius, groups, cell).join(least, "fp")
-    by_root = linked.groupBy("root").agg(F.min(OWN + "least").alias(OWN + "of"))
+    linked = written(roots(prints, radius, groups, cell).join(least, "fp"), "linked")
+    by_root = written(linked.groupBy("root").agg(F.min(OWN + "least").alias(OWN + "of")), "least-of-roots")
     of = linked.join(by_root, "root").select("fp", OWN + "of")
     named = least.join(of, "fp", "left").select("fp", F.coalesce(OWN + "of", OWN + "least").alias("component_id"))
+    named = written(named, "named")  # the join on it can be split, where one fingerprint is hot
     return prints.join(named, "fp", "left").select(*prints.columns, "component_id")

@@ -10,7 +10,9 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from noticeworks.llm import components as stars
 from noticeworks.llm import decontaminate, lines, simhash
 from noticeworks.llm.components import components
 from noticeworks.llm.queries import QUERIES
@@ -361,3 +363,40 @@ def test_decontamination_query(spark):
     whole = {(d, i) for d, t in docs for i, x in items if plain(x) in plain(t)}
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op8_decontaminate"](spark, SF).collect()}
     assert whole and whole <= got
+
+
+# --- hot keys ---------------------------------------------------------------------------------------
+
+
+def test_joins_on_hot_keys_are_split(spark, monkeypatch):
+    """The hub of a star round, with small thresholds: its join says skew."""
+    plans = []
+    keep = stars.written
+
+    def watched(df, name):
+        table = keep(df, name)
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return table
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        links = spark.range(1, 20_000, 1, 8).select((F.col("id") % 5000 + 10).alias("a"), F.when(F.col("id") < 15_000, 1).otherwise(F.col("id") % 7 + 2).alias("b"))
+        monkeypatch.setattr(stars, "written", watched)
+        roots = components(links).select("root").distinct().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [r[0] for r in roots] == [1]
+    assert any("skew=true" in plan for name, plan in plans if name == "large-star")
