@@ -119,33 +119,30 @@ def align(shared: Iterable[tuple[int, int, int]], least: int = BLOCK) -> list[tu
     aligned again, ``ROUNDS`` times at most; lines that never stand alone, and blocks in yet another order, are then taken
     by their neighbours alone, all in one pass.
     """
-    pairs = np.array(sorted(set(shared), key=lambda x: (x[1] - x[0], x[0])), np.int64).reshape(-1, 3)
-    if not len(pairs):
-        return []
-    place, held, n = pairs.T
-    begins = np.concatenate(([True], (np.diff(held - place) != 0) | (np.diff(place) != 1)))
-    first = np.flatnonzero(begins)
-    run = np.cumsum(begins) - 1  # lines in a row in both
-    left = (np.add.reduceat(n, first) >= least)[run]
-    starts, ends = place[first], place[np.append(first[1:], len(place)) - 1] + 1
-    blocks: set[int] = set()
+    pairs = sorted(set(shared), key=lambda x: (x[1] - x[0], x[0]))
+    runs_: list[list[tuple[int, int, int]]] = []  # lines in a row in both
+    before = None
+    for pair in pairs:
+        if before != (pair[0] - 1, pair[1] - 1):
+            runs_.append([])
+        runs_[-1].append(pair)
+        before = pair[:2]
+    runs_ = [r for r in runs_ if sum(n for *_, n in r) >= least]
+    blocks: list[list[tuple[int, int, int]]] = []
     for _ in range(ROUNDS):
-        at = np.flatnonzero(left)
-        once = at[_stands_once(place[at]) & _stands_once(held[at])]
-        once = once[np.argsort(place[once])]
-        of = dict(zip(place[once].tolist(), run[once].tolist(), strict=True))
-        found = {of[p] for p, _ in patience(list(zip(place[once].tolist(), held[once].tolist(), strict=True)))}
+        if len(runs_) < 2:  # a block alone is aligned with itself
+            break
+        here = Counter(p for r in runs_ for p, _, _ in r)
+        there = Counter(h for r in runs_ for _, h, _ in r)
+        once = sorted((p, h, k) for k, r in enumerate(runs_) for p, h, _ in r if here[p] == 1 == there[h])
+        of = {p: k for p, _, k in once}
+        found = {of[p] for p, _ in patience([(p, h) for p, h, _ in once])}
         if not found:
             break
-        blocks |= found
-        left &= ~np.isin(place, place[np.isin(run, list(found))])
-    blocks |= set(run[left].tolist())
-    return sorted((int(starts[k]), int(ends[k])) for k in blocks)
-
-
-def _stands_once(values: np.ndarray) -> np.ndarray:
-    _, of, times = np.unique(values, return_inverse=True, return_counts=True)
-    return times[of] == 1
+        blocks += [runs_[k] for k in found]
+        gone = {p for k in found for p, _, _ in runs_[k]}
+        runs_ = [r for k, r in enumerate(runs_) if k not in found and any(p not in gone for p, _, _ in r)]
+    return sorted({(r[0][0], r[-1][0] + 1) for r in (*blocks, *runs_)})
 
 
 def least_runs(stretch: np.ndarray, n: np.ndarray, least: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -242,8 +239,12 @@ def blocks_of(
     pairs: dict[object, set[tuple[int, int, int]]] = {}
     for place, holder, held, n in shared:
         pairs.setdefault(holder, set()).add((place, held, n))
-    for a, b, holder, at in further:
-        pairs.setdefault(holder, set()).update((p, at + p - a, words[p]) for p in range(a, b))
+    done: dict[tuple[object, int], int] = {}  # runs that overlap go on where the one before ended
+    for a, b, holder, at in sorted(further, key=lambda x: x[:2]):
+        start = max(a, done.get((holder, at - a), a))
+        done[holder, at - a] = max(b, start)
+        if start < b:
+            pairs.setdefault(holder, set()).update((p, at + p - a, words[p]) for p in range(start, b))
     found = [b for pair in pairs.values() if sum(n for *_, n in pair) >= least for b in align(pair, least)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(found):
@@ -254,13 +255,23 @@ def blocks_of(
     return out
 
 
+def _items(column: pa.ListArray) -> Iterator[list[tuple]]:
+    """The structs of each list as tuples; a null list is empty."""
+    flat = column.flatten()
+    every = list(zip(*(flat.field(k).to_pylist() for k in range(flat.type.num_fields)), strict=True))
+    at = 0
+    for n in column.value_lengths().to_pylist():
+        yield every[at : at + (n or 0)]
+        at += n or 0
+
+
 def _aligned(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in freed(batches):
             blocks = []
-            for s, r in zip(batch.column(2), batch.column(3), strict=True):
-                lines = [(x["line"], (x["hid"], x["hth"]), x["held"], x["n"]) for x in s.as_py()]
-                further = [(x["a"], x["b"], (x["wid"], x["wth"]), x["at"]) for x in r.as_py() or ()]
+            for shared, runs_ in zip(_items(batch.column(2)), _items(batch.column(3)), strict=True):
+                lines = [(line, (hid, hth), held, n) for line, hid, hth, held, n in shared]
+                further = [(a, b, (wid, wth), at) for a, b, wid, wth, at in runs_]
                 blocks.append(blocks_of(lines, least, further))
             spans = pa.array([[{"a": a, "b": b} for a, b in x] for x in blocks], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["id", "th", "spans"])
