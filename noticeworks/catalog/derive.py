@@ -47,8 +47,28 @@ def _sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame
     return spark.sql(query, **frames)
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, rules.ORDER_SQL, "orders", "customer", "nation")
+#: Fewest rows that are worth a task of their own, and most rows whose texts one task makes up.
+LEAST_ROWS, MOST_ROWS = 2_000, 200_000
+
+
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that texts of so many rows are made up and read in: a few a core, more only where each had too many rows."""
+    return max(1, min(3 * spark.sparkContext.defaultParallelism, rows // LEAST_ROWS), rows // MOST_ROWS)
+
+
+def orders(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """The scalars of every order, dealt out while rows are narrow: a table's file or two would be made texts of in as many tasks.
+
+    ``in_order``: by ranges of the order key, sorted, so that texts need no sort of their own.
+    """
+    columns = "o_orderkey, o_orderstatus, o_orderdate, o_totalprice, c_mktsegment, n_name, n_nationkey"
+    joined = _sql(spark, sf_dir, f"SELECT {columns} FROM {rules.ORDER_FROM}", "orders", "customer", "nation")
+    parts = parts_for(spark, table(spark, sf_dir, "orders").count())
+    if in_order:
+        dealt = joined.repartitionByRange(parts, "o_orderkey").sortWithinPartitions("o_orderkey")
+    else:
+        dealt = joined.repartition(parts)
+    return spark.sql(rules.ORDER_SQL.replace(rules.ORDER_FROM, "{dealt}"), dealt=dealt)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,10 +259,13 @@ def package_lines(df: DataFrame, extra: bool = False) -> DataFrame:
     return df.withColumn("line", F.expr(line))
 
 
-def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(line, _ord, src)`` for every order, in order-key order."""
-    lines = package_lines(release_json(orders(spark, sf_dir)))
-    return _kept(spark, sf_dir, "archive_lines", lines.select("line", F.col("k").alias("_ord"), "src"))
+def archive_lines(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """``(line, _ord, src)`` for every order; with ``in_order`` its partitions hold them in order-key order."""
+    lines = package_lines(release_json(orders(spark, sf_dir, in_order)))
+    lines = _kept(spark, sf_dir, "archive_lines", lines.select("line", F.col("k").alias("_ord"), "src"))
+    if in_order and spark.conf.get(KEEP, None):  # kept texts stand in any order
+        return lines.repartitionByRange("_ord").sortWithinPartitions("_ord")
+    return lines
 
 
 def extra_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

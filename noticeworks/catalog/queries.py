@@ -106,21 +106,16 @@ def clean_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
-def _in_order(lines: DataFrame) -> DataFrame:
-    """Lay lines out so that file order is order-key order."""
-    return lines.repartitionByRange("_ord").sortWithinPartitions("_ord").select("line")
-
-
 @query
 def q_jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     junk = F.expr("CASE _ord % 50 WHEN 0 THEN '   ' WHEN 1 THEN '{not json}' WHEN 2 THEN '[1,2]' END")
-    lines = derive.archive_lines(spark, sf_dir).select(
+    lines = derive.archive_lines(spark, sf_dir, in_order=True).select(
         "_ord", "src", F.explode(F.array_compact(F.array("line", junk))).alias("line")
     )
     root = new_path(spark, "archives")
     finder = F.col("src") == fixed.CONTRACTS_FINDER
-    _in_order(lines.filter(finder)).write.text(f"{root}/plain")
-    _in_order(lines.filter(~finder)).write.option("compression", "gzip").text(f"{root}/gz")
+    lines.filter(finder).select("line").write.text(f"{root}/plain")
+    lines.filter(~finder).select("line").write.option("compression", "gzip").text(f"{root}/gz")
     read = archives.read_lines(spark, f"{root}/plain").unionAll(
         archives.read_lines(spark, f"{root}/gz", spread=spark.sparkContext.defaultParallelism)
     )
@@ -542,7 +537,9 @@ def q_filter_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_confidence_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = notices(spark, sf_dir).select("k", "ai_confidence")
+    path = new_path(spark, "confidence")
+    notices(spark, sf_dir).select("k", "ai_confidence").write.parquet(path)  # both modes read what one parse gave
+    n = spark.read.parquet(path)
     return (
         explore.confident(n).select(F.lit("strong").alias("mode"), "k")
         .unionAll(explore.confident(n, strong_only=False).select(F.lit("both"), "k"))
@@ -828,9 +825,9 @@ def q_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_load_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive files of both sources loaded twice into one table: the second time adds nothing."""
     root = new_path(spark, "load")
-    lines = derive.archive_lines(spark, sf_dir)
+    lines = derive.archive_lines(spark, sf_dir, in_order=True)
     for source in BOTH:
-        _in_order(lines.filter(F.col("src") == source)).write.text(f"{root}/{source}")
+        lines.filter(F.col("src") == source).select("line").write.text(f"{root}/{source}")
     for source in BOTH * 2:
         load_archive(spark, f"{root}/{source}", f"{root}/table", source)
     return read_runs(spark, f"{root}/table").select(
@@ -842,11 +839,11 @@ def q_load_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two waves of files of each source, the second holding the first again; a stream run after each."""
     root = new_path(spark, "stream")
-    lines = derive.archive_lines(spark, sf_dir)
+    lines = derive.archive_lines(spark, sf_dir, in_order=True)
     for source in BOTH:
         own = lines.filter(F.col("src") == source)
         for wave in (own.filter("_ord % 3 = 0"), own):
-            _in_order(wave).write.mode("append").text(f"{root}/{source}")
+            wave.select("line").write.mode("append").text(f"{root}/{source}")
             start_ingest(
                 spark, f"{root}/{source}", f"{root}/table", f"{root}/checkpoint-{source}", source
             ).awaitTermination()
@@ -872,11 +869,11 @@ def q_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     load and a repeated stream batch: every notice once."""
     root = new_path(spark, "one")
     table = f"{root}/table"
-    lines = derive.archive_lines(spark, sf_dir)
+    lines = derive.archive_lines(spark, sf_dir, in_order=True)
     for source in BOTH:
         own = lines.filter(F.col("src") == source)
-        _in_order(own.filter("_ord % 3 = 0")).write.text(f"{root}/archive-{source}")
-        _in_order(own).write.text(f"{root}/landing-{source}")
+        own.filter("_ord % 3 = 0").select("line").write.text(f"{root}/archive-{source}")
+        own.select("line").write.text(f"{root}/landing-{source}")
         load_archive(spark, f"{root}/archive-{source}", table, source, run=f"first-{source}")
         for checkpoint in ("a", "b"):
             start_ingest(
@@ -907,9 +904,9 @@ def q_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a streamed run read, set aside by reason, and added; every 50th line is cut off in the middle."""
     root = new_path(spark, "counted")
-    lines = derive.archive_lines(spark, sf_dir)
+    lines = derive.archive_lines(spark, sf_dir, in_order=True)
     cut = F.when(F.col("_ord") % 50 == 7, F.concat(F.lit("{"), F.col("line"))).otherwise(F.col("line"))
-    _in_order(lines.withColumn("line", cut)).write.text(f"{root}/landing")
+    lines.withColumn("line", cut).select("line").write.text(f"{root}/landing")
     counts: list[dict] = []
     start_ingest(
         spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", fixed.CONTRACTS_FINDER,
