@@ -101,10 +101,12 @@ def load_feed(
     counts: Observation | None = None,
     quarantine_path: str | None = None,
     page: Column | None = None,
+    bundled: bool = False,
 ) -> int:
     """Load the page files at ``path`` into ``table`` (see :func:`load_pages`); returns the rows added.
 
     ``page`` names a page by its file, in the order of which the first occurrence wins; by default the file's name.
+    ``bundled`` pages stand many to a file, under their own names (:func:`noticeworks.sources.pages.land_pages`).
     """
-    pages = read_pages(spark, path, page)
+    pages = read_pages(spark, path, page, bundled)
     return load_pages(pages, table, feed, run or new_run("load"), keep_all, candidates, counts, quarantine_path)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import glob
 
 import pytest
 
 from noticeworks.catalog import derive
-from noticeworks.catalog.queries import QUERIES
+from noticeworks.catalog.queries import QUERIES, _land
+from noticeworks.plans.feed_loads import QUESTIONS
+from noticeworks.sources.pages import explode_items, land_pages, read_pages
+from noticeworks.streaming.incremental import start_feed_ingest
 
 N = 6001
 
@@ -54,3 +58,34 @@ def test_parts_follow_the_rows(spark):
 def test_both_modes_read_one_parse(spark, tables):
     plan = QUERIES["q_confidence_mode"](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan and plan.count("Relation") == 2
+
+
+def test_pages_are_landed_many_to_a_file(spark, tmp_path):
+    """As many files at ten times the pages; names and bodies come back as they were."""
+    sent = {f"page-{k}": f'{{"results": [\n{{"id": {k}, "t": "a\\tb\t"}}]}}' for k in range(200)} | {"odd": "no json\t", "": ""}
+    for n in (20, len(sent)):
+        rows = [*sent.items()][-n:]
+        land_pages(spark.createDataFrame([*rows, (None, None)], "page string, body string").coalesce(2), f"{tmp_path}/{n}")
+        assert len(glob.glob(f"{tmp_path}/{n}/part-*")) <= 2
+        got = read_pages(spark, f"{tmp_path}/{n}", bundled=True).collect()
+        want = [(p, b.replace("\n", " ")) for p, b in rows] + [("", "")]
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_queries_land_no_file_per_page(spark, tmp_path):
+    """300 pages, 3 files; a third of the items first, then all, then a fresh checkpoint."""
+    items = spark.range(15_000).selectExpr(
+        "id AS n", "concat('{\"id\":', id, ',\"heading\":\"AI ', id, '\",\"questionText\":\"artificial intelligence\"}') AS item"
+    )
+    _land(items.repartition(3), "n", f"{tmp_path}/pages")
+    assert len(glob.glob(f"{tmp_path}/pages/part-*")) <= 4
+    pages = read_pages(spark, f"{tmp_path}/pages", bundled=True)
+    assert sorted(r[0] for r in pages.select("page").collect()) == sorted(f"page-{k}" for k in range(300))
+    assert explode_items(pages).count() == 15_000
+    for checkpoint, added in (("a", 15_000), ("b", 0)):
+        counts = []
+        start_feed_ingest(
+            spark, f"{tmp_path}/pages", f"{tmp_path}/table", f"{tmp_path}/{checkpoint}", QUESTIONS,
+            on_counts=lambda n, c: counts.append(c["n_added"]), files_per_batch=100, bundled=True,
+        ).awaitTermination()
+        assert counts == [added]
