@@ -548,7 +548,9 @@ def q_confidence_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_stage_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = notices(spark, sf_dir).select("k", "stage", "source")
+    path = new_path(spark, "stages")
+    notices(spark, sf_dir).select("k", "stage", "source").write.parquet(path)  # all three read what one parse gave
+    n = spark.read.parquet(path)
     finder = n.filter(F.col("source") == fixed.CONTRACTS_FINDER)
     other = n.filter(F.col("source") == fixed.FIND_A_TENDER)
     return (
@@ -890,11 +892,11 @@ def q_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten runs of overlapping tenths of all notices, every notice stored by the first that has it; then one part."""
     path = new_path(spark, "compacted")
     staged = f"{path}-batch"
-    silver_notices(spark, sf_dir).write.parquet(staged)
-    batch = spark.read.parquet(staged)
     share = F.pmod(F.crc32(F.col("notice_id").cast("binary")), F.lit(10))
+    silver_notices(spark, sf_dir).withColumn("share", share).write.partitionBy("share").parquet(staged)
+    batch = spark.read.parquet(staged)  # of which a run reads its own two tenths
     for k in range(10):
-        merge_run(batch.filter(share.isin(k, (k + 1) % 10)), path, f"run-{k}")
+        merge_run(batch.filter(F.col("share").isin(k, (k + 1) % 10)).drop("share"), path, f"run-{k}")
     compact(spark, path)
     parts = len(read_manifest(spark, path).parts)
     return read_runs(spark, path).select("notice_id", "title", F.lit(parts).alias("n_parts"))

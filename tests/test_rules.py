@@ -6,10 +6,12 @@ import datetime
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
-from noticeworks.catalog import derive
+from noticeworks.catalog import derive, queries
 from noticeworks.catalog.queries import QUERIES, _land
 from noticeworks.plans.feed_loads import QUESTIONS
+from noticeworks.plans.store import merge_run
 from noticeworks.sources.pages import explode_items, land_pages, read_pages
 from noticeworks.streaming.incremental import start_feed_ingest
 
@@ -55,9 +57,23 @@ def test_parts_follow_the_rows(spark):
     assert [derive.parts_for(spark, n) for n in (0, 1999, 4000, 10**6, 10**8)] == [1, 1, 2, 3 * cores, 500]
 
 
-def test_both_modes_read_one_parse(spark, tables):
-    plan = QUERIES["q_confidence_mode"](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
-    assert "from_json" not in plan and plan.count("Relation") == 2
+@pytest.mark.parametrize("name,branches", [("q_confidence_mode", 2), ("q_stage_filter", 3)])
+def test_branches_read_one_parse(spark, tables, name, branches):
+    plan = QUERIES[name](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Relation") == branches
+
+
+def test_a_run_reads_its_own_share(spark, tables, monkeypatch):
+    """Files that the batches of the ten runs read: each tenth twice, not all of them ten times."""
+    files = []
+
+    def noted(batch, path, run):
+        files.append({r[0] for r in batch.select(F.input_file_name()).distinct().collect()})
+        return merge_run(batch, path, run)
+
+    monkeypatch.setattr(queries, "merge_run", noted)
+    assert queries.QUERIES["q_compacted"](spark, tables).count() > 0
+    assert len(files) == 10 and sum(map(len, files)) == 2 * len(set.union(*files))
 
 
 def test_pages_are_landed_many_to_a_file(spark, tmp_path):
