@@ -7,9 +7,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from noticeworks.functions import ocds
 from noticeworks.operators.merge import merge_notices
 from noticeworks.plans.gold import procurement_dedup, run_counts
-from noticeworks.plans.notices import good, parse_releases, quarantine
+from noticeworks.plans.notices import good, parse_releases, quarantine, with_release
 from noticeworks.schemas import TABLES
 
 AWARD = {
@@ -393,3 +394,17 @@ def test_every_wrongly_typed_part_has_a_reason(spark, release, reason):
 def test_a_key_given_twice_does_not_hide_a_null(spark):
     text = json.dumps(without("awards"))[:-1] + ', "x": 1, "x": 2, "awards": null}'
     assert one(spark, text)["reason"] == "explicit nulls cannot be told"
+
+
+def test_only_releases_with_a_key_that_was_not_read_are_looked_into(spark):
+    """A release without some part, though its name stands elsewhere, is no reason to go through the whole table of kinds."""
+    second = {"id": "a2", "value": {"amount": 1}}  # lacks parts that the other award has
+    plain = {**AWARD, "tag": ["tender"], "stage": "planning", "tender": {"title": "items"}, "awards": [*AWARD["awards"], second]}
+    wrong = {**plain, "awards": [*AWARD["awards"], {**second, "contractPeriod": "x"}]}
+    escaped = json.dumps(wrong).replace('"contractPeriod": "x"', '"contract\\u0050eriod": "x"')
+    texts = [json.dumps(plain), json.dumps(wrong), escaped, json.dumps({**plain, "title": "Children's \u2019"})]
+    rows = with_release(spark.createDataFrame(list(enumerate(texts)), "k int, release string"))
+    looked = rows.select("k", "suspect", ocds.miscounted("release", F.col("r"), F.col("aw")).alias("m")).orderBy("k").collect()
+    assert [r["suspect"] for r in looked] == [True] * 4 and [r["m"] for r in looked] == [False, True, True, False]
+    parsed = parse_releases(rows.select("k", "release"), "contracts_finder").orderBy("k").collect()
+    assert [r["reason"] for r in parsed][1:3] == ["award contract period is no object"] * 2
