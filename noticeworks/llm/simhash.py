@@ -145,12 +145,14 @@ def _linked(groups: DataFrame, radius: int) -> DataFrame:
     return groups.select("fps").mapInArrow(run, "a long, b long")
 
 
-def near_links(nodes: DataFrame, radius: int = 2, groups: int = 4, cell: int = CELL) -> DataFrame:
+def near_links(nodes: DataFrame, radius: int = 2, groups: int = 4, cell: int = CELL, fine: int | None = None) -> DataFrame:
     """Links (a, b) between the distinct fingerprints ``fp`` that connect all those within ``radius`` bits.
 
-    A link that other links already connect inside one cell is left out.
+    A link that other links already connect inside one cell is left out. ``fine``: groups of the second grid, 8 * ``radius``
+    unless given; fewer make fewer but larger cells, which leave 64 * ``radius`` / ``fine`` bits open.
     """
-    if not radius < groups:
+    fine = fine or 8 * radius
+    if not radius < min(groups, fine):
         raise ValueError("more groups than differing bits are needed")
     nodes = nodes.select("fp")
     cells = written(_cells(nodes, popcounts(F.col("fp")), _masks(groups, radius)), "cells")
@@ -159,9 +161,9 @@ def near_links(nodes: DataFrame, radius: int = 2, groups: int = 4, cell: int = C
     shared = cells.join(sizes, "cell")
     small = shared.filter(F.col("count") <= cell).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     crowded = shared.filter(F.col("count") > cell).select("fp").distinct()
-    fine = _cells(crowded, F.col("fp"), _masks(8 * radius, radius))
-    fine = fine.groupBy("cell").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    links = written(_linked(small.select("fps").union(fine.select("fps")), radius), "near-links")
+    second = _cells(crowded, F.col("fp"), _masks(fine, radius))
+    second = second.groupBy("cell").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
+    links = written(_linked(small.select("fps").union(second.select("fps")), radius), "near-links")
     delete_written(cells)
     delete_written(sizes)
     return links
