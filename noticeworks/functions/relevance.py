@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from noticeworks import fixed_values as fixed
 from noticeworks.functions.text import blank_to_null, col, java_quote
 
-_WORD = r"[\p{L}\p{N}_]"
+# Texts are lower-case: naming their commonest letters first spares most look-ups of Unicode classes.
+_WORD, _NO_WORD = r"[a-z0-9_\p{L}\p{N}]", r"[^a-z0-9_\p{L}\p{N}]"
 
 
 @dataclass(frozen=True)
@@ -69,10 +70,13 @@ def any_keyword(lowered: Column | str, keywords: tuple[str, ...]) -> Column:
     words = [k.lower() for k in keywords]
     ascii_only = all(w.isascii() for w in words)
     flags = "" if ascii_only else "(?iu)"
-    # The look at the first letter is cheap and turns most places away before the word test.
+    # A word begins after a character that is none of a word's, so only those places are looked at; the blank
+    # in front stands for the text's start. The look at the first letter turns most of them away.
     first = "|".join(sorted({_letters(w[0], ascii_only) for w in words}))
-    hit = col(lowered).rlike(
-        f"{flags}(?={first})(?<!{_WORD})(?:{_alternatives(words, ascii_only)})(?!{_WORD})"
+    if ascii_only:  # one class instead of a letter after the other
+        first = f"[{re.sub('[^a-z0-9_ıſ]', '', first)}]"
+    hit = F.concat(F.lit(" "), col(lowered)).rlike(
+        f"{flags}{_NO_WORD}(?={first})(?:{_alternatives(words, ascii_only)})(?!{_WORD})"
     )
     return F.coalesce(hit, F.lit(False))
 
@@ -103,12 +107,15 @@ def classify(
     keyword or any listed code alone is ``weak``.
     """
     text = search_text(title, description)
+    # Most texts hold no keyword at all: one search for both kinds tells, and the others are for the rest.
+    no_word = ~any_keyword(text, config.strong_keywords + config.weak_keywords)
     strong_word = any_keyword(text, config.strong_keywords)
     weak_word = any_keyword(text, config.weak_keywords)
     strong_code = any_code_prefix(codes, config.strong_cpv_prefixes)
     weak_code = any_code_prefix(codes, config.weak_cpv_prefixes)
     return (
-        F.when(strong_word, "strong")
+        F.when(no_word, F.when(strong_code | weak_code, "weak").otherwise("none"))
+        .when(strong_word, "strong")
         .when(weak_word, F.when(strong_code, "strong").otherwise("weak"))
         .when(strong_code | weak_code, "weak")
         .otherwise("none")

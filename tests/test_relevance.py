@@ -71,6 +71,24 @@ def test_random_texts_equal_python(spark, texts):
         assert got == [python_match(t, words) for t in texts]
 
 
+def test_words_after_odd_characters(spark):
+    texts = ["\U0001d400ai", "\U0001f600ai", "\U0001f600 ai\U0001d400", "line\nai", "\tai", "aiai ai", "\u2028ai", "mai\u0301 ai\u0301", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = [False, True, False, True, True, True, True, True, False, False]
+    for words in (("ai",), ("ai", "über")):
+        got = [r[0] for r in df.orderBy("i").select(any_keyword(F.lower("t"), words)).collect()]
+        assert got == want
+
+
+def test_texts_without_keywords_are_searched_once(spark, capsys):
+    """The first branch looks for both kinds of words, and only where a word may begin."""
+    spark.createDataFrame([("a", "b")], "t string, d string").select(classify("t", "d").alias("tier")).explain()
+    plan = capsys.readouterr().out
+    first = plan[plan.index("RLIKE(") : plan.index("THEN")]
+    assert "eural network" in first and "lgor[iı]thm" in first and first.count("RLIKE") == 1
+    assert "(?<!" not in plan
+
+
 def test_empty_lists_and_null_codes(spark):
     df = spark.createDataFrame([(None,), ([],), (["7222"],), ([None, "1"],)], "c array<string>")
     assert [r[0] for r in df.select(any_code_prefix("c", ("72",))).collect()] == [False, False, True, False]
