@@ -408,3 +408,14 @@ def test_only_releases_with_a_key_that_was_not_read_are_looked_into(spark):
     assert [r["suspect"] for r in looked] == [True] * 4 and [r["m"] for r in looked] == [False, True, True, False]
     parsed = parse_releases(rows.select("k", "release"), "contracts_finder").orderBy("k").collect()
     assert [r["reason"] for r in parsed][1:3] == ["award contract period is no object"] * 2
+
+
+def test_kinds_are_told_by_the_parse_itself(spark):
+    """A part that stands in the awards only is no reason for another parse; one that is of a wrong kind is, whatever else the text holds."""
+    plain = {**AWARD, "tender": {"title": "AI", "items": []}}
+    wrong = [{**plain, "tender": {**plain["tender"], "contractPeriod": "2024"}}, {**plain, "buyer": {"name": "b", "identifier": 5}}, {**plain, "planning": []}]
+    texts = [json.dumps(plain), json.dumps({**plain, "unread": {"a": 1}}), *map(json.dumps, wrong)]
+    rows = with_release(spark.createDataFrame(list(enumerate(texts)), "k int, release string")).orderBy("k")
+    assert [(r["suspect"], r["v"] is not None) for r in rows.collect()] == [(False, False)] * 2 + [(True, True)] * 3
+    parsed = parse_releases(rows.select("k", "release"), "contracts_finder").orderBy("k").collect()
+    assert [r["reason"] for r in parsed] == [None, None, "tender.contractPeriod is no object", "buyer.identifier is no object", None]
