@@ -10,10 +10,13 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from noticeworks.functions.relevance import RelevanceConfig
+from noticeworks.operators.sieve import sieve
+from noticeworks.plans import load
 from noticeworks.plans.load import load_archive, load_years
+from noticeworks.plans.notices import promising
 from noticeworks.schemas import TABLES, read_table
 from noticeworks.sources.archives import land_lines, normalise_packages, read_landed, read_lines, split_lines, unpack_lines
-from noticeworks.plans.store import read_runs, write_run
+from noticeworks.plans.store import merge_run, read_manifest, read_runs, write_run
 from noticeworks.streaming.incremental import merge_batch, start_ingest
 
 
@@ -231,3 +234,58 @@ def test_years_and_stages_of_a_load(spark, tmp_path):
     ]
     assert load_years(spark, root, str(tmp_path / "u"), "contracts_finder", None, 2019, stages=["award"]) == 0
     assert load_years(spark, root, str(tmp_path / "v"), "find_a_tender") == 6  # all years, all stages
+
+
+@pytest.fixture
+def parsed_whole(monkeypatch):
+    """How many releases each load parses as a whole."""
+    seen, first = [], load.first_relevant
+    monkeypatch.setattr(load, "first_relevant", lambda marked, *more: seen.append(marked.count()) or first(marked, *more))
+    return seen
+
+
+def test_a_load_parses_only_what_may_be_new(spark, tmp_path, parsed_whole):
+    path = write(tmp_path / "a.jsonl", [*(release(f"o{i}") for i in range(300)), *(release(f"c{i}", "Cleaning") for i in range(50)), "{bad", {"ocid": "x"}])
+    table = str(tmp_path / "t")
+    assert load_archive(spark, path, table, "find_a_tender", run="one") == 300
+    more = write(tmp_path / "b.jsonl", [*(release(f"o{i}", "AI again") for i in range(310)), release("o305", "AI later")])
+    assert load_archive(spark, more, table, "find_a_tender", run="two") == 10
+    assert load_archive(spark, path, table, "find_a_tender", run="one") == 300  # its own rows are none that it knows
+    assert parsed_whole[0] == 300 and 11 <= parsed_whole[1] < 100 and parsed_whole[2] == 300
+    assert stored(spark, table) == sorted((f"o{i}::r1", "AI service" if i < 300 else "AI again") for i in range(310))
+    counts = Observation()
+    assert load_archive(spark, path, table, "find_a_tender", counts=counts) == 0
+    assert parsed_whole[3] == 352 and counts.get == {"n_rows": 352, "n_parsed": 350, "n_relevant": 300, "n_errors": 2}
+
+
+def test_what_a_glance_cannot_read_is_left_to_the_whole_parse(spark):
+    wrong = {"ocid": "w", "id": "1", "tender": {"title": "Cleaning", "items": "CPV"}}
+    texts = [json.dumps(x) for x in (release("a"), release("b", "Cleaning"), release("", "AI"), {"ocid": "d"}, wrong, release("z", id=0))] + ["[1]", '{"ocid": "e", "id"', None]
+    rows = spark.createDataFrame([(k, x, None) for k, x in enumerate(texts)], "k int, release string, compiled_id string")
+    assert sorted((r["k"], r["notice"]) for r in promising(rows).collect()) == [(0, "a::r1"), (4, None), (6, None), (7, None)]
+    assert [r["k"] for r in promising(rows, keep_all=True).orderBy("k").collect()] == [0, 1, 4, 6, 7]
+
+
+def test_a_load_begins_anew_where_a_run_it_looked_at_was_replaced(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    assert load_archive(spark, write(tmp_path / "a.jsonl", [release("a"), release("b")]), table, "find_a_tender", run="one") == 2
+    path, tries, whole = write(tmp_path / "b.jsonl", [release("b", "AI two"), release("c", "AI two")]), [], load.read_promising
+
+    def replaced_meanwhile(*args):
+        tries.append(args)
+        found = whole(*args)
+        if len(tries) == 1:
+            merge_run(read_runs(spark, table).filter("notice_id = 'a::r1'").drop("run"), table, "one")
+        return found
+
+    monkeypatch.setattr(load, "read_promising", replaced_meanwhile)
+    assert load_archive(spark, path, table, "find_a_tender", run="two") == 2
+    assert len(tries) == 2 and stored(spark, table) == [("a::r1", "AI service"), ("b::r1", "AI two"), ("c::r1", "AI two")]
+    assert merge_run(read_runs(spark, table).drop("run"), table, "three", seen=read_manifest(spark, table)) == 0
+
+
+def test_a_sieve_keeps_every_wanted_row_and_few_others(spark):
+    rows = spark.range(60000).selectExpr("IF(id = 7, NULL, concat('k', id)) AS key", "id")
+    kept = sieve(rows, "key", rows.filter("id % 3 = 0").select("key"))
+    assert kept.filter("id % 3 = 0").count() == 20000 and kept.count() < 24000 and kept.filter("key IS NULL").count() == 0
+    assert sieve(rows, "key", rows.filter("false").select("key")).count() == 0
