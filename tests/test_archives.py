@@ -289,3 +289,11 @@ def test_a_sieve_keeps_every_wanted_row_and_few_others(spark):
     kept = sieve(rows, "key", rows.filter("id % 3 = 0").select("key"))
     assert kept.filter("id % 3 = 0").count() == 20000 and kept.count() < 24000 and kept.filter("key IS NULL").count() == 0
     assert sieve(rows, "key", rows.filter("false").select("key")).count() == 0
+
+
+def test_a_stream_that_nobody_asks_for_counts_parses_only_what_may_be_new(spark, tmp_path, parsed_whole):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "1.jsonl", [*(release(f"o{i}") for i in range(200)), *(release(f"c{i}", "Cleaning") for i in range(20))])
+    run_stream(spark, tmp_path)
+    start_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/other", "contracts_finder").awaitTermination()
+    assert parsed_whole[0] == 200 and parsed_whole[1] < 50 and len(stored(spark, f"{tmp_path}/table")) == 200
